@@ -144,13 +144,13 @@ with c as (
     a.said > b.said or (a.said = b.said and a.conv_id < b.conv_id) as wins
   from g a join c b on b.conv_id = case when a.conv_id = a.first then a.last else a.first end where a.first < a.last
 ), o as (
-  select *, list_max(list_filter(generate_series(1, len(turns)), lambda i: turns[i].role = 'assistant')) as at from g where first = last
+  select *, list_max(list_filter(generate_series(1, len(turns)), lambda i: turns[i].role = 'assistant')) as cut from g where first = last
 ), p as (
   select pair_id, case when wins then x else y end as chosen_conv, case when wins then y else x end as rejected_conv,
     case when wins then t else u end as chosen, case when wins then u else t end as rejected from n
   union all
   select conv_id, conv_id, conv_id, turns, list_transform(generate_series(1, len(turns)),
-    lambda i: case when i = at then {{'role': turns[i].role, 'text': substr(turns[i].text, 1, length(turns[i].text) // 2)}} else turns[i] end) from o where at is not null
+    lambda i: case when i = cut then {{'role': turns[i].role, 'text': substr(turns[i].text, 1, length(turns[i].text) // 2)}} else turns[i] end) from o where cut is not null
 ), q as (
   select *, coalesce(list_min(list_filter(generate_series(1, least(len(chosen), len(rejected))), lambda i: chosen[i] is distinct from rejected[i])) - 1,
     least(len(chosen), len(rejected))) as n_common from p

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, media, mixing
+from . import chat, decontam, lines, media, mixing, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_lines": lines.op2_lines,
     "op4_mix": mixing.op4_mix,
+    "op6_decontaminate": decontam.op6_decontaminate,
     "op8_media": media.op8_media,
     "op10_preferences": chat.op10_preferences,
 }
-SQL = {"op4_mix": mixing.SQL, "op10_preferences": chat.SQL}
+SQL = {"op2_lines": lines.SQL, "op4_mix": mixing.SQL, "op6_decontaminate": decontam.SQL, "op10_preferences": chat.SQL}
