@@ -1 +1 @@
-
+"""Plan helpers: tables in the shared folder."""
