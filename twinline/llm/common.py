@@ -1,36 +1,16 @@
-"""Small shared helpers: shared-folder tables, row identity, text sizes."""
+"""Small shared helpers: row identity, text sizes, case."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Stands for a null doc_id, so that null sorts before every other id.
-NULL_ID = -(2**63)
-
+from ..plans.shared import checkpoint_dir, materialize
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='twinline-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+__all__ = ["NULL_ID", "ascii_lower", "checkpoint_dir", "id_key", "materialize", "n_words", "text_of"]
 
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once to the shared folder and reads it back.
-
-    Cuts the lineage, survives lost executors, and gives Catalyst a table with
-    a known size, from which it can choose a join by itself.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/twinline-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Stands for a null doc_id, so that null sorts before every other id.
+NULL_ID = -(2**63)
 
 
 def id_key(col: str = "doc_id") -> Column:
