@@ -160,19 +160,19 @@ def segments_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         w = words_at(data)
         g = np.full(len(data), np.uint64(2**64 - 1))
         g[: len(data) - gram + 1] = mix(mix(w[: len(data) - gram + 1]) ^ (w[gram - 8 : len(data) - 7] * table(23, 1)[0]))
-        least, width, span = g, 1, length - gram + 1
-        while 2 * width <= span:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < span:
-            least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+        least, place, width, span = g, np.arange(len(g), dtype=np.int32), 1, length - gram + 1
+        while width < span:  # the leftmost of equals
+            step = min(width, span - width)
+            right = least[step:] < least[:-step]
+            least, place = np.where(right, least[step:], least[:-step]), np.where(right, place[step:], place[:-step])
+            width += step
         ends = np.cumsum(sizes)
         owner = np.repeat(np.arange(b - a), sizes)
         m = len(data) - length + 1
-        least = least[:m]
+        least, place = least[:m], place[:m]
         fits = np.arange(m) + length <= ends[owner[:m]]
         new = np.ones(m, bool)
-        new[1:] = (least[1:] != least[:-1]) | (owner[1:m] != owner[: m - 1]) | (fits[1:] != fits[:-1])
+        new[1:] = (place[1:] != place[:-1]) | (owner[1:m] != owner[: m - 1]) | (fits[1:] != fits[:-1])
         start = np.flatnonzero(new)
         stop = np.append(start[1:], m)
         start, stop = start[fits[start]], stop[fits[start]]
