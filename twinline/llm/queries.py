@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, chunks, decontam, lines, media, mixing, neardup, suffix, toxicity
+from . import chat, chunks, decontam, lines, lm, media, mixing, neardup, suffix, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_lines": lines.op2_lines,
+    "op3_lm": lm.op3_lm,
     "op4_mix": mixing.op4_mix,
     "op5_chunks": chunks.op5_chunks,
     "op6_decontaminate": decontam.op6_decontaminate,
