@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 #: Bound on labelled rows used in training, for each value of the last category.
-MAX_ROWS = 5_000
+MAX_ROWS = 4_000
 #: Words kept for each category.
 TOP_WORDS = 128
 #: Least chi-square of a kept word, far above chance for a whole vocabulary.
@@ -60,7 +60,7 @@ def surface(text: str, words: list[str]) -> list[float]:
     ]
 
 
-def word_ids(words: list[str]) -> list[int]:
+def word_ids(words: list[str]) -> np.ndarray:
     """Hashes of the words present, and of the stems that recur: how often, and at what share of the words."""
     counts = Counter(words)
     found = set(counts)
@@ -73,10 +73,10 @@ def word_ids(words: list[str]) -> list[int]:
         if n > 1:
             found.update(f"{stem}*{t}" for t in TIMES if n >= t)
             found.update(f"{stem}%{t}" for t in PER_MILLE if 1000 * n >= t * len(words))
-    return sorted({zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in found})
+    return np.unique(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in found), np.uint32, len(found)).view(np.int32))
 
 
-def features_of(text: str) -> tuple[list[int], list[float]]:
+def features_of(text: str) -> tuple[np.ndarray, list[float]]:
     words = WORD.findall(text.lower())
     return word_ids(words), [float(x) for x in surface(text, words)]
 
@@ -111,16 +111,18 @@ def linear(w: np.ndarray, x: np.ndarray) -> np.ndarray:
 @dataclass
 class Chain:
     names: tuple[str, ...]
-    vocab: dict[int, int] = field(default_factory=dict)
+    vocab: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # in order
     mean: np.ndarray = field(default_factory=lambda: np.zeros(SURFACE))
     scale: np.ndarray = field(default_factory=lambda: np.ones(SURFACE))
     weights: list[np.ndarray] = field(default_factory=list)
 
     def matrix(self, ids: list, surfaces: np.ndarray) -> np.ndarray:
         x = np.zeros((len(ids), len(self.vocab) + SURFACE))
-        for r, words in enumerate(ids):
-            cols = [self.vocab[w] for w in words if w in self.vocab]
-            x[r, cols] = 1
+        if len(self.vocab) and len(ids):
+            flat, owner = np.concatenate(ids), np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+            at = np.minimum(np.searchsorted(self.vocab, flat), len(self.vocab) - 1)
+            hit = self.vocab[at] == flat
+            x[owner[hit], at[hit]] = 1
         x[:, len(self.vocab) :] = (surfaces - self.mean) / self.scale
         return x
 
@@ -131,9 +133,9 @@ class Chain:
         return x[:, x.shape[1] - len(self.weights) :] if self.weights else np.zeros((len(ids), len(self.names)))
 
 
-def associated(ids: list, y: np.ndarray, top: int) -> list[int]:
+def associated(ids: list, y: np.ndarray, top: int) -> np.ndarray:
     """Features with the largest chi-square for y = 1, among those in five texts or more."""
-    flat = np.concatenate([np.asarray(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
+    flat = np.concatenate(ids)
     kinds, at = np.unique(flat, return_inverse=True)
     label = np.repeat(y.astype(float), [len(x) for x in ids])
     c1 = np.bincount(at, label, len(kinds))
@@ -143,15 +145,14 @@ def associated(ids: list, y: np.ndarray, top: int) -> list[int]:
     chi = n * d * d / np.maximum(1, (c0 + c1) * (n - c0 - c1) * n1 * (n - n1))
     kept = np.flatnonzero((c0 + c1 >= 5) & (chi >= LEAST_CHI) & (d > 0))
     order = np.lexsort((kinds[kept], -chi[kept]))[:top]
-    return kinds[kept[order]].tolist()
+    return kinds[kept[order]]
 
 
 def fit(ids: list, surfaces: np.ndarray, labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], top: int = TOP_WORDS) -> Chain:
     chain = Chain(names)
     if not len(ids):
-        return chain
-    words = sorted({w for k in range(len(names)) for w in associated(ids, labels[:, k], top)})
-    chain.vocab = {w: i for i, w in enumerate(words)}
+        return chain  # scores 0
+    chain.vocab = np.unique(np.concatenate([associated(ids, labels[:, k], top) for k in range(len(names))]))
     chain.mean, chain.scale = surfaces.mean(0), np.maximum(surfaces.std(0), 1e-6)
     x = chain.matrix(ids, surfaces)
     for k in range(len(names)):
@@ -183,11 +184,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, categori
             yield b.drop(columns="text").assign(ids=[m[0] for m in made], surface=[m[1] for m in made])
 
     kinds = ", ".join(f"{n} int" for n in names)
-    got = rows.select("doc_id", *names, "text").mapInPandas(run, f"doc_id long, {kinds}, ids array<long>, surface array<double>").toPandas()
+    got = rows.select("doc_id", *names, "text").mapInPandas(run, f"doc_id long, {kinds}, ids array<int>, surface array<double>").toPandas()
     got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
     folds = np.array([zlib.crc32(str(d).encode()) % FOLDS for d in got["doc_id"]])
     surfaces = np.array(got["surface"].tolist()).reshape(len(got), SURFACE)
-    return fit([list(x) for x in got["ids"]], surfaces, got[list(names)].to_numpy().reshape(len(got), len(names)), folds, names)
+    return fit([np.asarray(x, np.int32) for x in got["ids"]], surfaces, got[list(names)].to_numpy().reshape(len(got), len(names)), folds, names)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
