@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import records, relational
 
-QUERIES = {**relational.QUERIES}
-SQL = {**relational.SQL}
+QUERIES = {**relational.QUERIES, **records.QUERIES}
+SQL = {**relational.SQL, **records.SQL}
