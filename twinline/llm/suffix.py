@@ -220,7 +220,9 @@ def in_block(rows: list[tuple], salted: bool) -> tuple[list[pd.DataFrame], list[
     owner, offset, group, dd, pp = owner[order], offset[order], group[order], dd[order], pp[order]
     first = np.ones(len(group), bool)
     first[1:] = group[1:] != group[:-1]
-    at = np.flatnonzero(~first)
+    # a repeated row has the place of its group's first window and isn't later
+    head = np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
+    at = np.flatnonzero((dd != dd[head]) | (pp != pp[head]))
     at = at[np.lexsort((pp[at], dd[at]))]
     later = pd.DataFrame({"d": dd[at], "p": pp[at], "c": np.ones(len(at), np.int32)})
     if len(later):  # consecutive starts as one row
@@ -263,7 +265,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["a", "salted", "salt", "d", "p", "c", "seg"])
 
     source = _texts(docs).join(near, ["d", "h"]).select("d", "text", "segs")
-    pieces = source.mapInPandas(cut, "a long, salted boolean, salt int, d long, p long, c int, seg binary").distinct()
+    pieces = source.mapInPandas(cut, "a long, salted boolean, salt int, d long, p long, c int, seg binary")
     dealt = pieces.repartition("a", "salt").sortWithinPartitions("salted", "a", "salt")
 
     def sort(batches):
