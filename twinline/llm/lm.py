@@ -11,8 +11,8 @@ vocabulary exactly, by one matrix product for the different contexts of a batch.
 
 Words outside the vocabulary share one place in it; their own probability
 within that place is by add-one counts over all training documents, so a text's
-probability is a proper one. All words are counted. The HEAD most frequent are
-sent to every worker (a bounded table); the others' counts are joined by
+probability is a proper one. All words are counted. The most frequent, HEAD at
+most, are sent to every worker (a bounded table); the others' counts are joined by
 shuffle.
 
 A document is held out if crc32 of its doc_id as text is 2 modulo 7.
@@ -38,7 +38,7 @@ from .hashing import mix
 
 FOLDS, HELD = 7, 2
 #: Words of the model; words whose counts every worker holds (about 20 bytes each).
-VOCAB, HEAD = 512, 200_000
+VOCAB, HEAD = 512, 100_000
 DIM, NOISE, BATCH, ROUNDS, STRIDE = 24, 64, 250, 2, 16
 #: Examples that a worker trains on in a round.
 SHARE = 400_000
@@ -153,7 +153,7 @@ class Lexicon:
         return np.append(self.counts[: self.vocab], self.other_mass()[0]).astype(float)
 
 
-def word_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
+def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     """(token, c) over all training documents, the end included; partial counts leave a worker ``flush`` words at a time."""
 
     def run(batches):
@@ -173,11 +173,22 @@ def word_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
 
 def lexicon(counts: DataFrame, vocab: int = VOCAB, head: int = HEAD) -> Lexicon:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.where(F.octet_length("token") > 0).orderBy(F.desc("c"), "token").limit(head).toPandas()
+    words = counts.where(F.octet_length("token") > 0)
+    # steps of a sixteenth of an octave: some hundred rows, however many kinds of words there are
+    step = F.floor(F.log2("c") * 16)
+    kinds, cut = 0, None
+    for r in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.step):
+        if (kinds := kinds + r.n) > head:
+            break
+        cut = r.step
+    few = words.where(step >= cut) if cut is not None else words.orderBy(F.desc("c"), "token").limit(vocab)
+    top = few.toPandas()
+    top["token"] = top["token"].map(bytes)
+    top = top.sort_values(["c", "token"], ascending=[False, True], ignore_index=True)
     end = counts.where(F.octet_length("token") == 0).select("c").first()
-    words = [END, *map(bytes, top["token"])] if end else []
-    own = min(vocab, len(words))
-    return Lexicon({w: i for i, w in enumerate(words)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
+    held = [END, *top["token"]] if end else []
+    own = min(vocab, len(held))
+    return Lexicon({w: i for i, w in enumerate(held)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
 
 
 def encode(lex: Lexicon, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
