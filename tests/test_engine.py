@@ -116,6 +116,14 @@ def test_streams_equal_batches(spark, tmp_path):
     assert sorted(map(tuple, spark.table("merged").select("k", "start", "end").where("k < 9").collect())) == want
 
 
+def test_shared_tables_survive_and_clear(spark):
+    from twinline.plans import shared
+
+    made = shared.materialize(spark.range(10).selectExpr("id", "id % 3 as k"), "test")
+    assert made.groupBy("k").count().count() == 3 and "twinline-test" in made.inputFiles()[0]
+    assert shared.clear(spark) >= 1 and shared.clear(spark) == 0
+
+
 def test_contract(spark):
     import __spark_entry__ as e
 

@@ -25,10 +25,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Tables that this process has written, for ``clear``.
+_WRITTEN: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables written so far; for when all results that read them are stored."""
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once to the shared folder and reads it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/twinline-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
