@@ -79,21 +79,24 @@ def marked(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, limit: int =
     _, found = candidates(docs, benchmark, size, limit)
     tries = materialize(found, "candidates").select(F.col("d").alias("__d"), F.col("h").alias("__h"), F.col("tries").alias("__tries"))
     keyed = docs.withColumn("__dk", id_key()).withColumn("__hk", F.xxhash64("text"))
-    out = keyed.join(tries, (F.col("__dk") == F.col("__d")) & (F.col("__hk") == F.col("__h")), "left").withColumn("__w", words(text_of()))
-    exact = F.filter("__tries", lambda t: F.array_join(F.slice("__w", t["start"] + 1, t["len"]), " ") == t["joined"])
-    out = out.withColumn("__true", F.when(F.col("__tries").isNotNull(), exact))
-    hit = F.size(F.array_distinct(F.flatten(F.transform("__true", lambda t: F.sequence(t["start"], t["start"] + t["len"] - 1)))))
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform("__true", lambda t: t["items"]))))
+    out = keyed.join(tries, (F.col("__dk") == F.col("__d")) & (F.col("__hk") == F.col("__h")), "left")
     none = F.array().cast("array<string>")
-    out = out.withColumn(
-        "__hit",
-        F.struct(
-            F.size("__w").cast("long").alias("n_words"),
-            F.when(F.col("__true").isNull(), 0).otherwise(hit).cast("long").alias("n_hit"),
-            F.coalesce(items, none).alias("items"),
-        ),
-    )
-    return out.drop("__dk", "__hk", "__d", "__h", "__w", "__tries", "__true")
+
+    def exact(w: Column) -> Column:
+        """Words and true tries of a document's words."""
+        true = F.filter("__tries", lambda t: F.array_join(F.slice(w, t["start"] + 1, t["len"]), " ") == t["joined"])
+        return F.struct(F.size(w).cast("long").alias("n_words"), true.alias("true"))
+
+    def counted(x: Column) -> Column:
+        hit = F.size(F.array_distinct(F.flatten(F.transform(x["true"], lambda t: F.sequence(t["start"], t["start"] + t["len"] - 1)))))
+        items = F.array_sort(F.array_distinct(F.flatten(F.transform(x["true"], lambda t: t["items"]))))
+        n = F.when(x["true"].isNull(), 0).otherwise(hit).cast("long")
+        return F.struct(x["n_words"].alias("n_words"), n.alias("n_hit"), F.coalesce(items, none).alias("items"))
+
+    # the words and the tries are arguments of lambdas, so that a predicate that is
+    # pushed down makes them once for each document and not once for each try
+    checked = F.transform(F.array(words(text_of())), exact)
+    return out.withColumn("__hit", F.element_at(F.transform(checked, counted), 1)).drop("__dk", "__hk", "__d", "__h", "__tries")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
