@@ -88,3 +88,23 @@ def test_lm_awkward(spark, awkward, empty):
     assert len(rows) == awkward.count() and all(r.score <= 0 and math.isfinite(r.score) for r in rows)
     assert {r.n_tokens for r in rows if r.doc_id in (3, 4, 11)} == {1}
     assert lm.score(empty.select("doc_id", "text")).count() == 0
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    rows = [(b"", 1000)] + [(f"w{i}".encode(), 50 if i < 3000 else 1) for i in range(4000)]
+    lex = lm.lexicon(spark.createDataFrame(rows, "token binary, c long"))
+    assert lm.least_count(lex.total) <= 50 and lex.vocab == 3001 and lex.other_mass() == (1000, 1000)
+    assert [lm.least_count(n) for n in (10**4, 10**6, 10**8, 10**10)] == [5, 20, 200, 2000]
+    more = lm.lexicon(spark.createDataFrame(rows, "token binary, c long"), head=10)
+    assert more.vocab == 3001 and len(more.index) == 3001
+
+
+def test_classes_and_words_make_one_distribution():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 20, 700):
+        m = lm.Model.fresh(np.sort(rng.integers(1, 5000, n))[::-1].astype(float))
+        m = m.like(m.flat() + rng.normal(0, 0.3, len(m.flat())).astype(np.float32))
+        w1, w2, w = rng.integers(0, n + 1, 300), rng.integers(0, n + 1, 300), rng.integers(0, n, 300)
+        lp = m.log_probs(w1, w2)
+        assert np.allclose(np.exp(lp).sum(1), 1, atol=1e-5)
+        assert np.allclose(m.log_prob(w1, w2, w, rows=7), lp[np.arange(300), w], atol=1e-4)

@@ -1,19 +1,24 @@
 """Language-model scoring with a log-bilinear model trained by noise contrast.
 
 The next word's vector is predicted from the two words before it by two
-matrices, q = R[w1] C1 + R[w2] C2, and scored as q . Q[w] + b[w]. Training is
-noise-contrastive in numpy: every worker takes minibatches over its share of
-the sampled positions, with one set of noise words per batch, so its work is
-matrix products; after each round the workers' parameters are averaged, weighted
-by examples. Every ``STRIDE``-th position of every training document is an
-example, so what is gathered grows with the corpus. Scoring normalises over the
-vocabulary exactly, by one matrix product for the different contexts of a batch.
-
-Words outside the vocabulary share one place in it; their own probability
-within that place is by add-one counts over all training documents, so a text's
-probability is a proper one. All words are counted. The most frequent, HEAD at
-most, are sent to every worker (a bounded table); the others' counts are joined by
-shuffle.
+matrices, q = R[w1] C1 + R[w2] C2. A word's probability is that of its class,
+the softmax of q . U[class] + a[class], times that of the word within its class,
+the softmax of q . Q[w] + b[w] there; both are exact. Classes are stretches of
+words in order of count with equal sums of sqrt(p), as many as that sum, which makes
+the products of a token fewest, 2 sqrt(V) at most.
+Training is in numpy: word scores by noise contrast, with one set of noise words
+per minibatch, class scores by their softmax. Every worker takes minibatches over
+its share of the sampled positions; after each round the workers' parameters are
+averaged, weighted by examples. Every ``STRIDE``-th position of every training
+document is an example, so what is trained on grows with the corpus.
+
+The vocabulary grows with the corpus: it is every word that is seen at least
+``least_count`` times, max(LEAST, sqrt(N) / ROOT) in N training tokens, without a
+limit on their number (there can't be more than ROOT sqrt(N)). The rarer words share
+one place in it; their own probability within that place is by add-one counts over
+all training documents, so a text's probability is a proper one. All words are
+counted. The model's words, and the most frequent up to HEAD where those are more,
+are sent to every worker; the others' counts are joined by shuffle.
 
 A document is held out if crc32 of its doc_id as text is 2 modulo 7.
 
@@ -25,6 +30,7 @@ in training; without training documents N and V are 0 and every base score is
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -37,11 +43,13 @@ from .common import materialize, text_of
 from .hashing import mix
 
 FOLDS, HELD = 7, 2
-#: Words of the model; words whose counts every worker holds (about 20 bytes each).
-VOCAB, HEAD = 512, 100_000
+#: A word of the model is seen LEAST times and sqrt(tokens) / ROOT times at least.
+LEAST, ROOT = 5, 50
+#: Words whose counts every worker holds (about 20 bytes each), if the model's words aren't more.
+HEAD = 100_000
 DIM, NOISE, BATCH, ROUNDS, STRIDE = 24, 64, 250, 2, 16
-#: Examples that a worker trains on in a round.
-SHARE = 400_000
+#: Positions dealt to a worker, if the model's parameters aren't more; numbers of a model that are averaged in one row.
+SHARE, BLOCK = 4_000_000, 65_536
 END = b""
 
 
@@ -54,6 +62,15 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == HELD
 
 
+def least_count(total: int) -> int:
+    return max(LEAST, math.isqrt(total) // ROOT)
+
+
+def log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+
 @dataclass
 class Model:
     """Ids: 0 the end, 1 .. words in order of count, then one for all other words, then the begin (context only)."""
@@ -62,16 +79,28 @@ class Model:
     q: np.ndarray
     c: np.ndarray
     b: np.ndarray
+    u: np.ndarray
+    a: np.ndarray
+    starts: np.ndarray  # first word of each class
 
     @classmethod
     def fresh(cls, counts: np.ndarray, dim: int = DIM, seed: int = 1) -> Model:
         rng = np.random.default_rng(seed)
         n = len(counts)
         p = (counts + 0.5) / (counts + 0.5).sum()
-        return cls(rng.normal(0, 0.3, (n + 1, dim)), rng.normal(0, 0.1, (n, dim)), np.stack([np.eye(dim), 0.5 * np.eye(dim)]), np.log(p))
+        root = np.cumsum(np.sqrt(p)) - np.sqrt(p) / 2
+        starts = np.unique(np.floor(root / np.sqrt(p).sum() * np.ceil(np.sqrt(p).sum())), return_index=True)[1]
+        mass = np.add.reduceat(p, starts)
+        turn = np.stack([np.eye(dim), 0.5 * np.eye(dim)])
+        parts = rng.normal(0, 0.3, (n + 1, dim)), rng.normal(0, 0.01, (n, dim)), turn, np.log(p), rng.normal(0, 0.01, (len(mass), dim)), np.log(mass)
+        return cls(*[x.astype(np.float32) for x in parts], starts)
+
+    def groups(self) -> np.ndarray:
+        """Class of every word."""
+        return np.repeat(np.arange(len(self.a)), np.diff(np.append(self.starts, len(self.b))))
 
     def parts(self) -> list[np.ndarray]:
-        return [self.r, self.q, self.c, self.b]
+        return [self.r, self.q, self.c, self.b, self.u, self.a]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.parts()])
@@ -81,47 +110,90 @@ class Model:
         for x in self.parts():
             out.append(flat[at : at + x.size].reshape(x.shape))
             at += x.size
-        return Model(*out)
+        return Model(*out, self.starts)
+
+    def state(self, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+        return self.r[w1] @ self.c[0] + self.r[w2] @ self.c[1]
 
     def log_probs(self, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
         """(contexts, vocabulary) normalised natural log-probabilities."""
-        z = (self.r[w1] @ self.c[0] + self.r[w2] @ self.c[1]) @ self.q.T + self.b
-        z -= z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
-
-
-def add_rows(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """target[rows] += values, with repeated rows summed."""
+        q = self.state(w1, w2)
+        group = log_softmax(q @ self.u.T + self.a)
+        each = zip(np.split(self.q, self.starts[1:]), np.split(self.b, self.starts[1:]), strict=True)
+        within = [log_softmax(q @ x.T + b) for x, b in each]
+        return np.concatenate([x + group[:, [k]] for k, x in enumerate(within)], 1)
+
+    def log_prob(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, rows: int = 4000) -> np.ndarray:
+        """Of one word after each context: its class, and it among the words of its class."""
+        n, groups = len(w), self.groups()
+        order = np.argsort(w, kind="stable")
+        q, y = self.state(w1[order], w2[order]), w[order]
+        g, got = groups[y], np.empty(n)
+
+        def part(z, at):
+            hit = z[np.arange(len(z)), at]
+            top = z.max(1, keepdims=True)
+            z -= top
+            return hit - top[:, 0] - np.log(np.exp(z, out=z).sum(1))
+
+        for lo in range(0, n, rows):
+            at = slice(lo, lo + rows)
+            got[at] = part(q[at] @ self.u.T + self.a, g[at])
+        cuts = np.searchsorted(g, np.arange(len(self.a) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            start = self.starts[k]
+            own = slice(start, self.starts[k + 1] if k + 1 < len(self.a) else len(self.b))
+            if len(self.b[own]) == 1:
+                continue
+            for lo in range(cuts[k], cuts[k + 1], rows):
+                at = slice(lo, min(lo + rows, cuts[k + 1]))
+                got[at] += part(q[at] @ self.q[own].T + self.b[own], y[at] - start)
+        out = np.empty(n)
+        out[order] = got
+        return out
+
+
+def climb(x: np.ndarray, speed: np.ndarray, rows: np.ndarray, values: np.ndarray, rate: float) -> None:
+    """Adagrad's step on the rows that occur, the values of a repeated one summed."""
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    target[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
+    g, rows = np.add.reduceat(values[order], starts, axis=0), rows[starts]
+    s = speed[rows] + g * g
+    speed[rows] = s
+    x[rows] += rate * g / np.sqrt(s)
 
 
 def train_share(model: Model, w1, w2, w, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
-    """One pass of noise-contrastive minibatches (Adagrad) over examples."""
+    """One pass of minibatches (Adagrad) over examples: noise contrast for words, softmax for classes."""
     rng = np.random.default_rng(seed)
-    m = Model(*[x.copy() for x in model.parts()])
-    speed = [np.full(x.shape, 1e-6) for x in m.parts()]
+    m = model.like(model.flat())
+    sr, sq, sc, sb, su, sa = [np.full(x.shape, 1e-6, np.float32) for x in m.parts()]
     order = rng.permutation(len(w))
-    log_k = np.log(k * noise_p)
+    log_k = np.log(k * noise_p).astype(np.float32)
     cum = np.cumsum(noise_p)
+    groups = m.groups()
     for i in range(0, len(w), batch):
         at = order[i : i + batch]
         a1, a2, y = w1[at], w2[at], w[at]
+        n = np.float32(1 / len(at))
         noise = np.minimum(np.searchsorted(cum, rng.random(k)), len(cum) - 1)
-        r1, r2 = m.r[a1], m.r[a2]
+        r1, r2, qy, qn = m.r[a1], m.r[a2], m.q[y], m.q[noise]
         q = r1 @ m.c[0] + r2 @ m.c[1]
-        up = 1 / (1 + np.exp(np.clip((q * m.q[y]).sum(1) + m.b[y] - log_k[y], -30, 30)))  # pull on the true words
-        down = -1 / (1 + np.exp(-np.clip(q @ m.q[noise].T + m.b[noise] - log_k[noise], -30, 30)))  # push on the noise
-        gq = up[:, None] * m.q[y] + down @ m.q[noise]
-        grads = [np.zeros_like(x) for x in m.parts()]
-        add_rows(grads[0], np.concatenate([a1, a2]), np.concatenate([gq @ m.c[0].T, gq @ m.c[1].T]))
-        add_rows(grads[1], np.concatenate([y, noise]), np.concatenate([up[:, None] * q, down.T @ q]))
-        grads[2][0], grads[2][1] = r1.T @ gq, r2.T @ gq
-        add_rows(grads[3], np.concatenate([y, noise]), np.concatenate([up, down.sum(0)]))
-        for x, g, s in zip(m.parts(), grads, speed, strict=True):
-            g /= len(at)
+        up = n / (1 + np.exp(np.clip((q * qy).sum(1) + m.b[y] - log_k[y], -30, 30)))  # pull on the true words
+        down = -n / (1 + np.exp(-np.clip(q @ qn.T + m.b[noise] - log_k[noise], -30, 30)))  # push on the noise
+        z = q @ m.u.T + m.a
+        z -= z.max(1, keepdims=True)
+        np.exp(z, out=z)
+        z *= -n / z.sum(1, keepdims=True)
+        z[np.arange(len(at)), groups[y]] += n
+        gq = up[:, None] * qy + down @ qn + z @ m.u
+        seen = np.concatenate([y, noise])
+        gc = np.stack([r1.T @ gq, r2.T @ gq])
+        climb(m.r, sr, np.concatenate([a1, a2]), np.concatenate([gq @ m.c[0].T, gq @ m.c[1].T]), rate)
+        climb(m.q, sq, seen, np.concatenate([up[:, None] * q, down.T @ q]), rate)
+        climb(m.b, sb, seen, np.concatenate([up, down.sum(0)]), rate)
+        for x, g, s in ((m.c, gc, sc), (m.u, z.T @ q, su), (m.a, z.sum(0), sa)):
             s += g * g
             x += rate * g / np.sqrt(s)
     return m
@@ -145,6 +217,10 @@ class Lexicon:
     def begin(self) -> int:
         return self.vocab + 1
 
+    def own(self, ids: np.ndarray) -> np.ndarray:
+        """The model's ids of head indexes."""
+        return np.where((ids < 0) | (ids >= self.vocab), self.other, ids)
+
     def other_mass(self) -> tuple[int, int]:
         """Tokens and kinds outside the model's words."""
         return self.total - int(self.counts[: self.vocab].sum()), self.distinct - self.vocab
@@ -171,8 +247,10 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     return some.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def lexicon(counts: DataFrame, vocab: int = VOCAB, head: int = HEAD) -> Lexicon:
+def lexicon(counts: DataFrame, least: int | None = None, head: int = HEAD) -> Lexicon:
+    """The model's words are those seen ``least`` times."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    least = least_count(total.n) if least is None else least
     words = counts.where(F.octet_length("token") > 0)
     # steps of a sixteenth of an octave: some hundred rows, however many kinds of words there are
     step = F.floor(F.log2("c") * 16)
@@ -181,13 +259,13 @@ def lexicon(counts: DataFrame, vocab: int = VOCAB, head: int = HEAD) -> Lexicon:
         if (kinds := kinds + r.n) > head:
             break
         cut = r.step
-    few = words.where(step >= cut) if cut is not None else words.orderBy(F.desc("c"), "token").limit(vocab)
+    few = words.where((F.col("c") >= least) if cut is None else (F.col("c") >= least) | (step >= cut))
     top = few.toPandas()
     top["token"] = top["token"].map(bytes)
     top = top.sort_values(["c", "token"], ascending=[False, True], ignore_index=True)
     end = counts.where(F.octet_length("token") == 0).select("c").first()
     held = [END, *top["token"]] if end else []
-    own = min(vocab, len(held))
+    own = int((top["c"] >= least).sum()) + 1 if end else 0
     return Lexicon({w: i for i, w in enumerate(held)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
 
 
@@ -203,15 +281,14 @@ def encode(lex: Lexicon, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list
     return np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array(sizes, np.int64), rare
 
 
-def contexts(lex: Lexicon, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word before, word before that, word) as the model's ids."""
-    w = np.where((ids < 0) | (ids >= lex.vocab), lex.other, ids)
+def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word before, word before that) of every place in texts of so many words."""
     start = np.cumsum(sizes) - sizes
-    w1 = np.concatenate([[lex.begin], w[:-1]])
-    w1[start] = lex.begin
-    w2 = np.concatenate([[lex.begin], w1[:-1]])
-    w2[start] = lex.begin
-    return w1, w2, w
+    w1 = np.concatenate([[begin], w[:-1]])
+    w1[start] = begin
+    w2 = np.concatenate([[begin], w1[:-1]])
+    w2[start] = begin
+    return w1, w2
 
 
 def text_batches(texts: list[str], limit: int = 1_000_000):
@@ -225,8 +302,8 @@ def text_batches(texts: list[str], limit: int = 1_000_000):
         yield texts[at:]
 
 
-def examples(docs: DataFrame, lex: Lexicon, stride: int = STRIDE) -> DataFrame:
-    """(d, w1, w2, w): every stride-th position of each training document, from a start hashed from its id."""
+def examples(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(d, w): the model's ids of all words of each training document."""
     shared = docs.sparkSession.sparkContext.broadcast(lex)
 
     def run(batches):
@@ -234,18 +311,19 @@ def examples(docs: DataFrame, lex: Lexicon, stride: int = STRIDE) -> DataFrame:
             at = 0
             for texts in text_batches(b["text"].tolist()):
                 ids, sizes, _ = encode(shared.value, texts)
-                w1, w2, w = contexts(shared.value, ids, sizes)
                 d = b["d"].to_numpy()[at : at + len(texts)]
                 at += len(texts)
-                place = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                first = (mix(d.astype(np.int64).view(np.uint64)) % np.uint64(stride)).astype(np.int64)
-                use = np.flatnonzero(place % stride == np.repeat(first, sizes))
-                cuts = np.searchsorted(use, np.cumsum(sizes)[:-1])
-                pick = [np.split(x[use].astype(np.int16), cuts) for x in (w1, w2, w)]
-                yield pd.DataFrame({"d": d, "w1": pick[0], "w2": pick[1], "w": pick[2]})
+                yield pd.DataFrame({"d": d, "w": np.split(shared.value.own(ids).astype(np.int32), np.cumsum(sizes)[:-1])})
 
     base = docs.where(~held_out()).select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("d"), text_of().alias("text"))
-    return base.mapInPandas(run, "d long, w1 array<short>, w2 array<short>, w array<short>").where(F.size("w") > 0)
+    return base.mapInPandas(run, "d long, w array<int>")
+
+
+def chosen(d: np.ndarray, sizes: np.ndarray, stride: int = STRIDE) -> np.ndarray:
+    """Every stride-th place of each document, from a start hashed from its id."""
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = (mix(d.astype(np.int64).view(np.uint64)) % np.uint64(stride)).astype(np.int64)
+    return np.flatnonzero(place % stride == np.repeat(first, sizes))
 
 
 def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> Model:
@@ -254,30 +332,54 @@ def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE,
     noise = lex.unigrams()
     noise = (noise + 0.5) / (noise + 0.5).sum()
     model = Model.fresh(lex.unigrams())
-    got = materialize(examples(docs, lex), "examples")
-    n = got.agg(F.coalesce(F.sum(F.size("w")), F.lit(0))).first()[0]
-    if not n:
+    if not lex.total:
         return model
-    workers = max(1, -(-n // share))
-    dealt = materialize(got.withColumn("worker", F.pmod(F.xxhash64("d"), F.lit(workers)).cast("int")).repartition(workers, "worker").sortWithinPartitions("worker", "d"), "dealt")
+    # the models sent to be averaged are not more than the positions
+    workers = -(-lex.total // max(share, len(model.flat())))
+    dealt = materialize(examples(docs, lex), "examples").withColumn("worker", F.pmod(F.xxhash64("d"), F.lit(workers)).cast("int"))
     for i in range(rounds):
         state = spark.sparkContext.broadcast((model, noise))
 
         def run(batches, state=state, i=i):
             m, p = state.value
-            held: dict[int, list] = {}
+
+            def train(k, d, rows):
+                sizes, w = np.array([len(r) for r in rows]), np.concatenate(rows)
+                w1, w2 = contexts(w, sizes, len(m.b))
+                use = chosen(np.array(d), sizes)
+                flat = train_share(m, w1[use], w2[use], w[use], p, rate / (1 + i), 1000 * i + k).flat()
+                for at in range(0, len(flat), BLOCK):
+                    yield pd.DataFrame({"block": [at // BLOCK], "x": [flat[at : at + BLOCK].tobytes()], "n": [len(use)]})
+
+            worker, ds, ws = None, [], []
+            for b in batches:
+                for k, d, w in b[["worker", "d", "w"]].itertuples(index=False, name=None):
+                    if k != worker and ws:
+                        yield from train(worker, ds, ws)
+                        ds, ws = [], []
+                    worker = k
+                    ds.append(d)
+                    ws.append(w)
+            if ws:
+                yield from train(worker, ds, ws)
+
+        def mean(batches):
+            block, total, n = None, None, 0
             for b in batches:
-                for k, *arrays in b[["worker", "w1", "w2", "w"]].itertuples(index=False, name=None):
-                    held.setdefault(k, []).append(arrays)
-            for k, rows in held.items():
-                w1, w2, w = (np.concatenate([r[j] for r in rows]).astype(np.int64) for j in range(3))
-                flat = train_share(m, w1, w2, w, p, rate / (1 + i), 1000 * i + k).flat()
-                yield pd.DataFrame({"at": np.arange(len(flat), dtype=np.int32), "x": flat * len(w), "n": np.full(len(flat), len(w))})
-
-        # a worker's rows are together: ``dealt`` was written in order, and small files aren't split
-        per = dealt.repartition(workers, "worker").sortWithinPartitions("worker", "d").mapInPandas(run, "at int, x double, n long")
-        mean = per.groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas().sort_values("at")
-        model = model.like(mean["x"].to_numpy())
+                for k, x, m in b[["block", "x", "n"]].itertuples(index=False, name=None):
+                    if k != block:
+                        if n:
+                            yield pd.DataFrame({"block": [block], "x": [(total / n).astype(np.float32).tobytes()]})
+                        block, total, n = k, 0.0, 0
+                    total, n = total + m * np.frombuffer(x, np.float32).astype(float), n + m
+            if n:
+                yield pd.DataFrame({"block": [block], "x": [(total / n).astype(np.float32).tobytes()]})
+
+        per = dealt.repartition(workers, "worker").sortWithinPartitions("worker", "d").mapInPandas(run, "block int, x binary, n long")
+        means = per.repartition("block").sortWithinPartitions("block").mapInPandas(mean, "block int, x binary")
+        rows = materialize(means, "averages").toPandas().sort_values("block")
+        if len(rows):
+            model = model.like(np.frombuffer(b"".join(map(bytes, rows["x"])), np.float32))
     return model
 
 
@@ -288,16 +390,8 @@ def score_texts(texts: list[str], lex: Lexicon, model: Model) -> pd.DataFrame:
         ids, sizes, rare = encode(lex, some)
         owner = np.repeat(np.arange(len(some)), sizes)
         logs = np.append(np.log10(lex.counts + 1.0), 0.0)
-        w1, w2, w = contexts(lex, ids, sizes)
-        both, at = np.unique(w1 * (lex.begin + 1) + w2, return_inverse=True)
-        order = np.argsort(at, kind="stable")
-        cuts = np.searchsorted(at[order], np.arange(0, len(both) + 1, 2000))
-        got = np.zeros(len(w))
-        for j, lo in enumerate(range(0, len(both), 2000)):
-            part = both[lo : lo + 2000]
-            lp = model.log_probs(part // (lex.begin + 1), part % (lex.begin + 1))
-            mine = order[cuts[j] : cuts[j + 1] if j + 1 < len(cuts) else len(order)]
-            got[mine] = lp[at[mine] - lo, w[mine]]
+        w = lex.own(ids)
+        got = model.log_prob(*contexts(w, sizes, lex.begin), w)
         other = w == lex.other
         total = lambda x: np.bincount(owner, x, len(some))  # noqa: B023, E731
         out.append(pd.DataFrame({
@@ -307,10 +401,10 @@ def score_texts(texts: list[str], lex: Lexicon, model: Model) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
-def score(docs: DataFrame, vocab: int = VOCAB, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, least: int | None = None, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     counts = materialize(word_counts(docs), "counts")
-    lex = lexicon(counts, vocab, head)
+    lex = lexicon(counts, least, head)
     model = fit(docs, lex)
     state = docs.sparkSession.sparkContext.broadcast((lex, model))
 
