@@ -108,3 +108,15 @@ def test_classes_and_words_make_one_distribution():
         lp = m.log_probs(w1, w2)
         assert np.allclose(np.exp(lp).sum(1), 1, atol=1e-5)
         assert np.allclose(m.log_prob(w1, w2, w, rows=7), lp[np.arange(300), w], atol=1e-4)
+
+
+def test_held_out_scores_are_better_than_the_base(scored):
+    held = scored[scored.held_out]
+    assert held.score.sum() > held.base_score.sum()
+
+
+def test_rounds_share_all_positions():
+    d, sizes = np.array([5, -3, 0, 77]), np.array([1, 2, 40, 7])
+    for rounds in (1, lm.ROUNDS, 5):
+        used = np.concatenate([lm.chosen(d, sizes, i, rounds) for i in range(rounds)])
+        assert sorted(used) == list(range(50))

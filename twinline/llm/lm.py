@@ -8,9 +8,10 @@ words in order of count with equal sums of sqrt(p), as many as that sum, which m
 the products of a token fewest, 2 sqrt(V) at most.
 Training is in numpy: word scores by noise contrast, with one set of noise words
 per minibatch, class scores by their softmax. Every worker takes minibatches over
-its share of the sampled positions; after each round the workers' parameters are
-averaged, weighted by examples. Every ``STRIDE``-th position of every training
-document is an example, so what is trained on grows with the corpus.
+its share of the positions; after each round the workers' parameters are averaged,
+weighted by examples. Every position of every training document is an example, in
+one of the ``ROUNDS``: a round takes every ROUNDS-th position of a document, from a
+start hashed from its id, and the next round starts one further.
 
 The vocabulary grows with the corpus: it is every word that is seen at least
 ``least_count`` times, max(LEAST, sqrt(N) / ROOT) in N training tokens, without a
@@ -47,7 +48,7 @@ FOLDS, HELD = 7, 2
 LEAST, ROOT = 5, 50
 #: Words whose counts every worker holds (about 20 bytes each), if the model's words aren't more.
 HEAD = 100_000
-DIM, NOISE, BATCH, ROUNDS, STRIDE = 24, 64, 250, 2, 16
+DIM, NOISE, BATCH, ROUNDS = 24, 64, 250, 2
 #: Positions dealt to a worker, if the model's parameters aren't more; numbers of a model that are averaged in one row.
 SHARE, BLOCK = 4_000_000, 65_536
 END = b""
@@ -319,11 +320,11 @@ def examples(docs: DataFrame, lex: Lexicon) -> DataFrame:
     return base.mapInPandas(run, "d long, w array<int>")
 
 
-def chosen(d: np.ndarray, sizes: np.ndarray, stride: int = STRIDE) -> np.ndarray:
-    """Every stride-th place of each document, from a start hashed from its id."""
+def chosen(d: np.ndarray, sizes: np.ndarray, i: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The places of round i: every rounds-th of each document, so that the rounds share all of them."""
     place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    first = (mix(d.astype(np.int64).view(np.uint64)) % np.uint64(stride)).astype(np.int64)
-    return np.flatnonzero(place % stride == np.repeat(first, sizes))
+    first = (mix(d.astype(np.int64).view(np.uint64)) % np.uint64(rounds)).astype(np.int64)
+    return np.flatnonzero((place + i) % rounds == np.repeat(first, sizes))
 
 
 def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> Model:
@@ -346,7 +347,9 @@ def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE,
             def train(k, d, rows):
                 sizes, w = np.array([len(r) for r in rows]), np.concatenate(rows)
                 w1, w2 = contexts(w, sizes, len(m.b))
-                use = chosen(np.array(d), sizes)
+                use = chosen(np.array(d), sizes, i, rounds)
+                if not len(use):
+                    return
                 flat = train_share(m, w1[use], w2[use], w[use], p, rate / (1 + i), 1000 * i + k).flat()
                 for at in range(0, len(flat), BLOCK):
                     yield pd.DataFrame({"block": [at // BLOCK], "x": [flat[at : at + BLOCK].tobytes()], "n": [len(use)]})
