@@ -186,3 +186,12 @@ def test_config(tmp_path):
     for bad in ("nope=1", "build.nope=1", "seed", "select.balance_gender=2"):
         with pytest.raises(ValueError):
             config.load(None, [bad])
+
+
+@pytest.mark.parametrize("name, rows", [("shift_search", 1), ("degrade_variants", 2), ("build_call", 1)])
+def test_signal_queries_take_every_call(spark, tmp_path, name, rows):
+    from twinline.plans import catalog
+
+    spark.range(7, 14).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    got = [r.call for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted([*range(7, 14)] * rows)

@@ -369,7 +369,7 @@ def _synthetic(call: int) -> tuple[list, list]:
 
 
 def _per_call(spark, sf, row, schema):
-    calls = t.table(spark, sf, "part").select(F.col("p_partkey").alias("call")).where("p_partkey % 10 = 0")
+    calls = t.table(spark, sf, "part").select(F.col("p_partkey").alias("call"))
 
     def run(batches):
         for b in batches:
