@@ -1,12 +1,10 @@
-"""Line dedup: winnowing over line hashes, matches extended, later runs deleted.
-
-In every window of ``run`` lines the smallest line hash (the rightmost of
-equals) is the fingerprint, so any repeated run of ``run`` lines or more shares
-one. Windows whose fingerprint occurs once in the corpus are done. From each
-matched fingerprint position the match is extended left and right over its
-window, by a 128-bit key of all its lines; a window that is equal to an earlier
-one (smaller doc_id, or same document, earlier line) is a later copy, and
-overlapping copies join into longer runs, which are deleted.
+"""Line dedup: all windows of lines compared by hash, later runs deleted.
+
+Every window of ``run`` lines is a row, with a 128-bit key of all its lines; one
+that is equal to an earlier one (smaller doc_id, or same document, earlier line)
+is a later copy, and overlapping copies join into longer runs, which are deleted.
+The smallest line hash of a window (the rightmost of equals) only sieves: windows
+whose smallest hash has one place in the corpus are left out before keys are met.
 
 All joins are on keys of many values and follow a table written to the shared
 folder, so the optimizer sees sizes and can split a hot key; nothing gathers a
