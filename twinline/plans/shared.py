@@ -6,17 +6,18 @@ Catalyst knows, so the choice between broadcast and shuffle joins stays its own.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where none is named (tests)."""
+    """``spark.checkpoint.dir``, the folder that the driver and all executors share; in local mode Spark's own scratch folder will do."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='twinline-')}"
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder; a cluster's executors share none without it")
+        folder = f"file://{spark.conf.get('spark.local.dir', '/tmp').split(',')[0]}/twinline-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -29,15 +30,31 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WRITTEN: list[str] = []
 
 
-def clear(spark: SparkSession) -> int:
-    """Deletes the tables written so far; for when all results that read them are stored."""
+def _delete(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
+def clear(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables written so far (those after the first ``since``); for when all results that read them are stored."""
     n = 0
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    while len(_WRITTEN) > since:
+        n += _delete(spark, _WRITTEN.pop())
     return n
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``materialize`` made and nothing reads any more."""
+    for t in tables:
+        _WRITTEN.remove(t.written_to)
+        _delete(t.sparkSession, t.written_to)
+
+
+def mark() -> int:
+    """How many tables are written now, for ``clear``."""
+    return len(_WRITTEN)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once to the shared folder and reads it back."""
     spark = df.sparkSession
@@ -49,4 +66,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
