@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..plans.shared import checkpoint_dir, materialize
+from ..plans.shared import checkpoint_dir, clear, discard, mark, materialize
 
-__all__ = ["NULL_ID", "ascii_lower", "checkpoint_dir", "id_key", "materialize", "n_words", "text_of"]
+__all__ = ["NULL_ID", "ascii_lower", "checkpoint_dir", "clear", "discard", "id_key", "mark", "materialize", "n_words", "text_of"]
 
 #: Stands for a null doc_id, so that null sorts before every other id.
 NULL_ID = -(2**63)
