@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from twinline.llm import chat, decontam, lines, mixing
 
 #: The repeated lines of the awkward table.
@@ -30,25 +31,46 @@ def test_matches_sql(spark, sf, name):
     assert sorted(map(repr, map(near, rows))) == sorted(map(repr, map(near, want)))
 
 
-def brute_lines(texts, run=lines.RUN):
-    seen, out = set(), []
-    for t in texts:
-        ls = t.split("\n")
+def brute_lines(texts, least=lines.LEAST, floor=lines.FLOOR):
+    weigh = lambda x: max(floor, len(re.findall(r"[^\x20\x09-\x0d]+", x))) if re.search(r"[^\x20\x09-\x0d]", x) else 0
+    docs, first, out = [t.split("\n") for t in texts], {}, []
+    for d, ls in enumerate(docs):
+        w, found = [weigh(x) for x in ls], set()
+        for i in (i for i in range(len(ls)) if w[i]):
+            e = next((e for e in range(i, len(ls)) if w[e] and sum(w[i : e + 1]) >= least), None)
+            s = next((s for s in range(i, -1, -1) if w[s] and sum(w[s : i + 1]) >= least), None)
+            found |= ({(i, e)} if e is not None else set()) | ({(s, i)} if s is not None else set())
         gone = set()
-        for i in range(len(ls) - run + 1):
-            w = tuple(ls[i : i + run])
-            gone |= set(range(i, i + run)) if w in seen else set()
-            seen.add(w)
+        for s, e in sorted(found):
+            fd, fs = first.setdefault(tuple(ls[s : e + 1]), (d, s))
+            if (fd, fs) != (d, s):
+                lo, hi = s, e
+                while lo and fs - (s - lo) and ls[lo - 1] == docs[fd][fs - (s - lo) - 1]:
+                    lo -= 1
+                while hi + 1 < len(ls) and fs + hi + 1 - s < len(docs[fd]) and ls[hi + 1] == docs[fd][fs + hi + 1 - s]:
+                    hi += 1
+                gone |= set(range(lo, hi + 1))
         out.append([x for i, x in enumerate(ls) if i not in gone])
     return out
 
 
-@pytest.mark.parametrize("run", [1, 2, 3, 5])
-def test_line_runs_by_brute_force(spark, documents, run):
-    df = spark.createDataFrame([(r["doc_id"], r["text"]) for r in documents], "doc_id long, text string")
-    got = {r.doc_id: r.text for r in lines.dedup_lines(df, run).collect()}
-    for r, kept in zip(documents, brute_lines([r["text"] for r in documents], run), strict=True):
-        assert got[r["doc_id"]] == "\n".join(kept)
+@pytest.mark.parametrize(("least", "floor"), [(1, 1), (8, 4), (12, 3), (60, 6)])
+def test_line_runs_by_brute_force(spark, documents, least, floor):
+    rows = [(r["doc_id"], r["text"]) for r in documents]
+    rows += [(10**6 + i, "\n".join(f"{'word ' * (j % 4)}{j % (3 + i)}" if j % 5 else "" for j in range(40))) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.dedup_lines(df, least, floor).collect()}
+    for (d, _), kept in zip(rows, brute_lines([t for _, t in rows], least, floor), strict=True):
+        assert got[d] == "\n".join(kept)
+
+
+def test_matches_are_extended_both_ways(spark):
+    """Blank lines are in no window: they go only because a match grows over them."""
+    long = [f"{c} one two three four five six seven eight" for c in "abcd"]
+    rows = [(1, "\n".join(["", long[0], "", "", long[1], "x", ""])), (2, "\n".join(["mine", "", long[0], "", "", long[1], "y", ""])), (3, "\n".join([long[2], "", long[0]])), (4, "\n\n\n"), (5, "\n\n\n"), (6, "tiny\nlines"), (7, "z\ntiny\n\nlines"), (8, "q\ntiny\nlines")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[2] == "mine\ny\n" and got[3] == long[2] and got[4] == got[5] == "\n\n\n"
+    assert got[6] == "tiny\nlines" and got[7] == "z\ntiny\n\nlines" and got[8] == "q"
 
 
 def test_lines_awkward(spark, awkward, empty):
@@ -94,6 +116,18 @@ def test_decontamination_awkward(spark, awkward, empty, limit):
     assert decontam.remove_contaminated(awkward, bench).columns == awkward.columns
 
 
+def test_one_window_in_very_many_items(spark):
+    """A shared window of common words: items don't multiply places, and every item is reported."""
+    shared = " ".join(["the", "of"] * 5)
+    n = 100_000
+    bench = spark.range(n).select(F.col("id").alias("item_id"), F.concat(F.lit(shared + " tail"), "id").alias("text"))
+    texts = [shared + " and more", "the of " * 400, "nothing here", shared + " tail7 end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r["__hit"] for r in decontam.marked(docs, bench).collect()}
+    assert [got[i].n_hit for i in range(4)] == [10, 800, 0, 11]
+    assert [len(got[i]["items"]) for i in range(4)] == [n, n, 0, n]
+
+
 def loop_targets(sizes, weights, cap=3):
     names = sorted([n for n in sizes if n is not None]) + [None] * (None in sizes)
     w = {n: weights[i % len(weights)] for i, n in enumerate(names)}

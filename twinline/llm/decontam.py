@@ -1,16 +1,19 @@
 """Benchmark decontamination: prefix-filtered set join with exact verification.
 
 A window is ``size`` consecutive words of a benchmark item (the whole of a
-shorter one). Words are ordered by rarity, counted over all documents: a
-document can hold a window only if it holds the window's rarest word, so that
-word alone is its prefix. Its places in the documents give candidate starts;
-those for which the window would begin before the document or end after it
-(length and position bounds) go, and the rest are compared word by word.
-
-Documents and windows meet only through prefix words. The table of prefixes is
-broadcast up to ``BROADCAST_ROWS``; a larger benchmark joins by shuffle, where
-the optimizer may split a frequent word. The only thing gathered is the
-candidate starts of one document.
+shorter one). Its tokens are its shingles of ``SHINGLE`` consecutive words (the
+whole of a shorter window), ordered by rarity over all documents. For full
+containment a prefix of one token is necessary and enough: a document that holds
+the window holds its rarest shingle. The texts are split once, and only places of shingles
+that the benchmark has are kept; rarity, candidates and verification all
+come from that table. A place of a prefix gives a candidate start; starts
+before the document or too near to its end (position and length bounds) go. A
+candidate is verified if all shingles of the window stand where they should.
+
+Documents and windows meet through shingles only, by joins of two plain sides
+or with a table whose size was counted; items come in at the very end,
+once for each different set of windows, so an instruction that all items share costs
+one row for an item and not one for each document or place.
 
 Defined results: A-Z are lower-cased, nothing else; null and texts without
 words have no words, no hits and no windows; a null item_id counts as ''; items
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, id_key, materialize, text_of
 
-SIZE = 10
-#: Rows of prefixes that are broadcast; about 40 bytes each.
+SIZE, SHINGLE = 10, 3
+#: Rows of shingles that are broadcast; about 60 bytes each.
 BROADCAST_ROWS = 200_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -42,78 +45,114 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def item_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """(win, words, items): each different window, and the ids of the items that have it."""
+def shingles(w: Column, size: int) -> Column:
+    """Array of the shingles of ``size`` words, in order; none of a shorter array."""
+    rest = [lambda i, k=k: F.get(w, i + k) for k in range(1, size)]
+    made = F.transform(w, lambda x, i: F.concat_ws(" ", x, *[r(i) for r in rest]))
+    return F.slice(made, 1, F.greatest(F.size(w) - (size - 1), F.lit(0))) if size > 1 else w
+
+
+def item_windows(benchmark: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
+    """(different windows (win, len, q), their items (win, item)); win is a digest of the words, q the words of a shingle."""
     w = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(text_of()).alias("w")).where(F.size("w") > 0)
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0))), lambda i: F.slice("w", i + 1, F.lit(size)))
     each = w.select("item", F.explode(cut).alias("words"))
-    return each.groupBy(F.array_join("words", " ").alias("win")).agg(F.first("words").alias("words"), F.collect_set("item").alias("items"))
-
-
-def prefixes(tokens: DataFrame, wins: DataFrame, limit: int) -> DataFrame:
-    """(word, win, off, len): the rarest word of each window by its count over all documents, and its first place there."""
-    vocab = materialize(wins.select(F.explode("words").alias("word")).distinct(), "vocabulary")
-    counts = tokens.join(bounded(vocab, limit), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
-    rated = wins.select("win", F.size("words").alias("len"), F.posexplode("words").alias("off", "word"))
-    rated = rated.join(materialize(counts, "rarity"), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    least = rated.groupBy("win", "len").agg(F.min(F.struct("n", "word", "off")).alias("m"))
-    return least.where("m.n > 0").select(F.col("m.word").alias("word"), F.xxhash64("win").alias("win"), F.col("m.off").alias("off"), "len")
-
-
-def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(windows, candidates (d, h, starts array of struct(win, start, len, words, items)))."""
-    base = docs.select(id_key().alias("d"), F.xxhash64("text").alias("h"), words(text_of()).alias("w"))
-    wins = materialize(item_windows(benchmark, size), "windows")
-    prefix = materialize(prefixes(base.select(F.explode("w").alias("word")), wins, limit), "prefixes")
-    places = base.select("d", "h", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word")).join(bounded(prefix, limit), "word")
-    start = (F.col("pos") - F.col("off")).alias("start")
-    fits = places.select("d", "h", "n", "win", "len", start).where("start >= 0 and start + len <= n")
-    known = wins.select(F.xxhash64("win").alias("win"), F.col("win").alias("joined"), "items")
-    # shuffled by window only where the table of windows is too large to send out
-    full = fits.join(bounded(known, limit // 10), "win")
-    return wins, full.groupBy("d", "h").agg(F.collect_set(F.struct("start", "len", "joined", "items")).alias("tries"))
+    each = materialize(each.select(F.md5(F.array_join("words", " ")).alias("win"), "words", "item"), "windows")
+    wins = each.groupBy("win").agg(F.first("words").alias("words")).withColumn("len", F.size("words"))
+    return wins.withColumn("q", F.least("len", F.lit(SHINGLE))), each.select("win", "item").distinct()
+
+
+def window_shingles(wins: DataFrame) -> DataFrame:
+    """(win, len, off, shingle)."""
+    by_size = F.array(*[F.when(F.col("q") == k, shingles(F.col("words"), k)) for k in range(1, SHINGLE + 1)])
+    return wins.select("win", "len", F.posexplode(F.element_at(by_size, F.col("q"))).alias("off", "shingle"))
+
+
+def places(docs: DataFrame, known: DataFrame, sizes: list[int], limit: int) -> DataFrame:
+    """(d, h, n, pos, shingle): where documents of n words have shingles of the benchmark."""
+    base = docs.select(id_key().alias("d"), F.xxhash64("text").alias("h"), F.explode(F.array(words(text_of()))).alias("w"))
+    several = [base.select("d", "h", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"), k)).alias("pos", "shingle")) for k in sizes]
+    known = bounded(known, limit)
+    out = None
+    for each in several:
+        found = each.join(known, "shingle", "left_semi")
+        out = found if out is None else out.unionByName(found)
+    return out.select("d", "h", "n", "pos", "shingle").distinct()  # repeated rows are one document
+
+
+def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """((d, h, start, len, win) of every window in every document, items (win, item))."""
+    wins, items = item_windows(benchmark, size)
+    wins = materialize(window_shingles(wins), "shingles")
+    sizes = sorted(r.q for r in wins.select(F.least("len", F.lit(SHINGLE)).alias("q")).distinct().collect())
+    if not sizes:
+        none = docs.sparkSession.createDataFrame([], "d long, h long, start int, len int, win string")
+        return none, items
+    hits = materialize(places(docs, wins.select("shingle").distinct(), sizes, limit), "places")
+    counts = materialize(hits.groupBy("shingle").agg(F.count("*").alias("c")), "rarity")
+    rated = wins.join(counts, "shingle", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    rarest = rated.groupBy("win", "len").agg(F.min(F.struct("c", "shingle", "off")).alias("m")).where("m.c > 0")
+    prefix = materialize(rarest.select("win", "len", F.col("m.shingle").alias("shingle"), F.col("m.off").alias("off")), "prefixes")
+    tries = hits.join(bounded(prefix, limit), "shingle").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + len <= n")
+    tries = materialize(tries.select("d", "h", "win", "len", "start"), "candidates")
+    # every shingle of a candidate's window has to stand in its place
+    wanted = tries.join(bounded(wins.select("win", "off", "shingle"), limit), "win").withColumn("pos", F.col("start") + F.col("off"))
+    met = wanted.join(hits.select("d", "h", "pos", "shingle"), ["d", "h", "pos", "shingle"])
+    met = met.groupBy("d", "h", "win", "len", "start").agg(F.count("*").alias("found"))
+    return materialize(met.where(f"found = greatest(len - {SHINGLE} + 1, 1)").drop("found"), "occurrences"), items
+
+
+def hit_words(found: DataFrame) -> DataFrame:
+    """(d, h, n_hit): words inside occurrences; those of one document are gathered, at most one for each word and length."""
+    starts = found.groupBy("d", "h").agg(F.collect_set(F.struct("start", "len")).alias("s"))
+    inside = F.flatten(F.transform("s", lambda t: F.sequence(t["start"], t["start"] + t["len"] - 1)))
+    return starts.select("d", "h", F.size(F.array_distinct(inside)).cast("long").alias("n_hit"))
+
+
+def hit_items(found: DataFrame, items: DataFrame) -> DataFrame:
+    """(d, h, items): sorted ids of the items with occurring windows, made once for each different set of windows."""
+    sets = found.groupBy("d", "h").agg(F.array_sort(F.collect_set("win")).alias("wins"))
+    sets = materialize(sets.withColumn("set", F.md5(F.array_join("wins", ""))), "sets")
+    each = sets.groupBy("set").agg(F.first("wins").alias("wins")).select("set", F.explode("wins").alias("win")).join(items, "win")
+    ids = materialize(each.select("set", "item").distinct().groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("items")), "items")
+    return sets.select("d", "h", "set").join(ids, "set").select("d", "h", "items")
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` plus struct __hit(n_words, n_hit, items)."""
-    _, found = candidates(docs, benchmark, size, limit)
-    tries = materialize(found, "candidates").select(F.col("d").alias("__d"), F.col("h").alias("__h"), F.col("tries").alias("__tries"))
-    keyed = docs.withColumn("__dk", id_key()).withColumn("__hk", F.xxhash64("text"))
-    out = keyed.join(tries, (F.col("__dk") == F.col("__d")) & (F.col("__hk") == F.col("__h")), "left")
+    found, items = occurrences(docs, benchmark, size, limit)
+    hit = materialize(hit_words(found).join(hit_items(found, items), ["d", "h"]), "hit")
+    keyed = docs.withColumns({"__dk": id_key(), "__hk": F.xxhash64("text"), "__n": F.size(words(text_of())).cast("long")})
+    hit = hit.select(F.col("d").alias("__d"), F.col("h").alias("__h"), F.col("n_hit").alias("__m"), F.col("items").alias("__items"))
+    out = keyed.join(hit, (F.col("__dk") == F.col("__d")) & (F.col("__hk") == F.col("__h")), "left")
     none = F.array().cast("array<string>")
-
-    def exact(w: Column) -> Column:
-        """Words and true tries of a document's words."""
-        true = F.filter("__tries", lambda t: F.array_join(F.slice(w, t["start"] + 1, t["len"]), " ") == t["joined"])
-        return F.struct(F.size(w).cast("long").alias("n_words"), true.alias("true"))
-
-    def counted(x: Column) -> Column:
-        hit = F.size(F.array_distinct(F.flatten(F.transform(x["true"], lambda t: F.sequence(t["start"], t["start"] + t["len"] - 1)))))
-        items = F.array_sort(F.array_distinct(F.flatten(F.transform(x["true"], lambda t: t["items"]))))
-        n = F.when(x["true"].isNull(), 0).otherwise(hit).cast("long")
-        return F.struct(x["n_words"].alias("n_words"), n.alias("n_hit"), F.coalesce(items, none).alias("items"))
-
-    # the words and the tries are arguments of lambdas, so that a predicate that is
-    # pushed down makes them once for each document and not once for each try
-    checked = F.transform(F.array(words(text_of())), exact)
-    return out.withColumn("__hit", F.element_at(F.transform(checked, counted), 1)).drop("__dk", "__hk", "__d", "__h", "__tries")
+    result = F.struct(F.col("__n").alias("n_words"), F.coalesce("__m", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("__items", none).alias("items"))
+    return out.withColumn("__hit", result).drop("__dk", "__hk", "__n", "__d", "__h", "__m", "__items")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark."""
-    return marked(docs, benchmark, size).where("__hit.n_hit = 0").drop("__hit")
+    found, _ = occurrences(docs, benchmark, size)
+    bad = materialize(found.select("d", "h").distinct(), "contaminated").select(F.col("d").alias("__d"), F.col("h").alias("__h"))
+    keyed = docs.withColumns({"__dk": id_key(), "__hk": F.xxhash64("text")})
+    return keyed.join(bad, (F.col("__dk") == F.col("__d")) & (F.col("__hk") == F.col("__h")), "left_anti").drop("__dk", "__hk")
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    h = F.col("__hit")
-    return marked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")).select(
+    found, items = occurrences(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    ids = hit_items(found, items).select("d", "h", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("sha"))
+    hit = materialize(hit_words(found).join(ids, ["d", "h"]), "hit")
+    # texts aren't shuffled: their size and key are made in the scan
+    base = docs.select("doc_id", id_key().alias("d"), F.xxhash64("text").alias("h"), F.size(words(text_of())).cast("long").alias("n_words"))
+    zero = F.lit(0).cast("long")
+    return base.join(hit, ["d", "h"], "left").select(
         "doc_id",
-        h["n_words"].alias("n_words"),
-        h["n_hit"].alias("n_hit"),
-        F.size(h["items"]).cast("long").alias("n_items"),
-        F.sha2(F.array_join(h["items"], ","), 256).alias("items_sha256"),
-        (h["n_hit"] > 0).alias("contaminated"),
+        "n_words",
+        F.coalesce("n_hit", zero).alias("n_hit"),
+        F.coalesce("n_items", zero).alias("n_items"),
+        F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
     )
 
 
