@@ -45,6 +45,38 @@ def test_toxicity_awkward(spark, awkward, empty):
     assert toxicity.train(empty, labels).weights == []
 
 
+def test_folds_see_nothing_of_what_they_hold_out():
+    """Random words and labels: out-of-fold probabilities of the first category must not give the second away."""
+    rng = np.random.default_rng(4)
+    ids = [np.unique(rng.integers(0, 4000, 40)).astype(np.int32) for _ in range(600)]
+    y = (rng.random(600) < 0.3).astype(int)
+    chain = toxicity.fit(ids, rng.normal(size=(600, toxicity.SURFACE)), np.stack([y, y], 1), np.arange(600) % 5, ("a", "b"))
+    assert chain.weights[1][-2] < 1  # of the earlier category; labels that leak through chosen words make it large
+
+
+def test_rare_label_keeps_its_share_under_the_bound():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, toxicity.SURFACE))
+    y = (x[:, 0] + rng.normal(size=3000) > 1.8).astype(int)
+    some = np.flatnonzero((y == 1) | (rng.random(3000) < 0.2))
+    weight = np.where(y[some] == 1, 1.0, 5.0)
+    fit = lambda at, w: toxicity.fit([np.zeros(0, np.int32)] * len(at), x[at], y[at][:, None], np.arange(len(at)) % 5, ("a",), weight=w)
+    every, few, plain = fit(np.arange(3000), None), fit(some, weight), fit(some, None)
+    none = [np.zeros(0, np.int32)] * 3000
+    assert abs(few.predict(none, x).mean() - every.predict(none, x).mean()) < 0.02 < plain.predict(none, x).mean() - every.predict(none, x).mean()
+
+
+def test_toxicity_query(spark):
+    """The registered query catches what the labels call toxic and leaves the rest alone; no row is lost."""
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in toxicity.op1_toxicity(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert set(got) == {r.doc_id for r in docs} and all(r.toxic == (r.p_toxic >= 0.5) for r in got.values())
+    said = lambda v: [got[d].toxic for d, t in labels.items() if t == v and d in got]
+    assert sum(said(1)) >= 0.9 * len(said(1)) and sum(said(0)) <= 0.02 * len(said(0))
+
+
 @pytest.fixture(scope="module")
 def scored(spark, sf):
     return lm.op3_lm(spark, sf).toPandas().set_index("doc_id")

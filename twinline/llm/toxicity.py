@@ -3,12 +3,14 @@
 Categories are predicted one after the other; each later model sees the
 earlier categories' probabilities as features. In training those come from
 out-of-fold predictions, so a later model learns from probabilities as honest
-as the ones it meets when scoring.
+as the ones it meets when scoring: in each fold words are chosen, ratios scaled and the
+model fitted without the held-out labels.
 
 Features: the words most associated with each category (present or not) and a
 few surface ratios of the text. The models are fitted on a bounded sample of
 labelled rows (``max_rows`` of each value of the last category, in order of a
-hash of the id); scoring runs over every row. What is broadcast is the model,
+hash of the id), weighted by the share of the value among all labels, so that a
+probability means the same whatever the bound leaves out; scoring runs over every row. What is broadcast is the model,
 a few hundred words and weights.
 
 Defined results: null is the empty text; labels that are null count as 0, a
@@ -81,19 +83,18 @@ def features_of(text: str) -> tuple[np.ndarray, list[float]]:
     return word_ids(words), [float(x) for x in surface(text, words)]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 25) -> np.ndarray:
-    """Weights (the last is the intercept) of a ridge logistic regression, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1, steps: int = 25) -> np.ndarray:
+    """Weights (the last is the intercept) of a ridge logistic regression of weighted rows, by Newton's method."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
-    share = y.mean()
-    if share in (0.0, 1.0):
-        w[-1] = 30.0 if share else -30.0
+    if y.min() == y.max():
+        w[-1] = 30.0 if y[0] else -30.0
         return w
     for _ in range(steps):
         p = sigmoid(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (weight * (p - y)) + penalty * w)
         w -= step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-4:
             break
@@ -148,23 +149,36 @@ def associated(ids: list, y: np.ndarray, top: int) -> np.ndarray:
     return kinds[kept[order]]
 
 
-def fit(ids: list, surfaces: np.ndarray, labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], top: int = TOP_WORDS) -> Chain:
-    chain = Chain(names)
+def design(names: tuple[str, ...], ids: list, surfaces: np.ndarray, labels: np.ndarray, top: int) -> Chain:
+    """A chain without models yet: words chosen and ratios scaled by these rows."""
+    vocab = np.unique(np.concatenate([associated(ids, labels[:, k], top) for k in range(len(names))]))
+    return Chain(names, vocab, surfaces.mean(0), np.maximum(surfaces.std(0), 1e-6))
+
+
+def fit(
+    ids: list, surfaces: np.ndarray, labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], top: int = TOP_WORDS, weight: np.ndarray | None = None
+) -> Chain:
     if not len(ids):
-        return chain  # scores 0
-    chain.vocab = np.unique(np.concatenate([associated(ids, labels[:, k], top) for k in range(len(names))]))
-    chain.mean, chain.scale = surfaces.mean(0), np.maximum(surfaces.std(0), 1e-6)
+        return Chain(names)  # scores 0
+    weight = np.ones(len(ids)) if weight is None else weight
+    chain = design(names, ids, surfaces, labels, top)
+    earlier = np.zeros((len(ids), 0))  # out-of-fold probabilities of the categories so far
+    inner = []  # (held out, its rows, the others, features of both) of each fold
+    for f in np.unique(folds):
+        out = np.flatnonzero(folds == f)
+        rest = np.flatnonzero(folds != f)
+        if len(rest):
+            own = design(names, [ids[i] for i in rest], surfaces[rest], labels[rest], top)
+            inner.append((out, rest, own.matrix([ids[i] for i in out], surfaces[out]), own.matrix([ids[i] for i in rest], surfaces[rest])))
     x = chain.matrix(ids, surfaces)
     for k in range(len(names)):
         y = labels[:, k].astype(float)
-        chain.weights.append(logistic(x, y))
-        if k + 1 < len(names):
-            held = np.zeros(len(y))
-            for f in range(FOLDS):
-                out = folds == f
-                if out.any():
-                    held[out] = linear(logistic(x[~out], y[~out]), x[out]) if (~out).any() else y.mean()
-            x = np.hstack([x, held[:, None]])
+        chain.weights.append(logistic(np.hstack([x, earlier]), y, weight))
+        held = np.full(len(y), np.average(y, weights=weight))
+        for out, rest, x_out, x_rest in inner:
+            w = logistic(np.hstack([x_rest, earlier[rest]]), y[rest], weight[rest])
+            held[out] = linear(w, np.hstack([x_out, earlier[out]]))
+        earlier = np.hstack([earlier, held[:, None]])
     return chain
 
 
@@ -174,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, categori
     marks = labels.where("doc_id is not null").select("doc_id", *[F.expr(f"coalesce(cast({sql} as int), 0)").alias(n) for n, sql in categories])
     marks = marks.groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
     order = F.xxhash64(F.lit("toxicity"), "doc_id")
+    many = {r[0]: r[1] for r in marks.groupBy(names[-1]).agg(F.count("*")).collect()}  # two values
     some = [marks.where(F.col(names[-1]) == v).orderBy(order, "doc_id").limit(max_rows) for v in (0, 1)]
     sample = some[0].unionByName(some[1])  # at most 2 * max_rows small rows
     rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
@@ -188,7 +203,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, categori
     got = got.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
     folds = np.array([zlib.crc32(str(d).encode()) % FOLDS for d in got["doc_id"]])
     surfaces = np.array(got["surface"].tolist()).reshape(len(got), SURFACE)
-    return fit([np.asarray(x, np.int32) for x in got["ids"]], surfaces, got[list(names)].to_numpy().reshape(len(got), len(names)), folds, names)
+    marked = got[list(names)].to_numpy().reshape(len(got), len(names))
+    taken = {v: min(n, max_rows) for v, n in many.items()}
+    rate = sum(many.values()) / max(1, sum(taken.values()))  # so the weights are 1 on the whole
+    weight = np.array([many[v] / taken[v] / rate for v in marked[:, -1]])
+    return fit([np.asarray(x, np.int32) for x in got["ids"]], surfaces, marked, folds, names, weight=weight)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
