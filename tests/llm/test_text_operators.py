@@ -160,6 +160,11 @@ def test_mixing_awkward(spark, awkward, empty):
     assert sorted(map(str, taken.collect())) == sorted(map(str, mixing.mix_sources(awkward.repartition(5)).collect()))
 
 
+def test_a_column_named_copy_stays(spark, awkward):
+    taken = mixing.mix_sources(awkward.withColumn("copy", F.lit("mine")))
+    assert taken.columns == [*awkward.columns, "copy", "copy_"] and {r["copy"] for r in taken.collect()} == {"mine"}
+
+
 def test_each_source_comes_near_its_target(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("explode(sequence(0, 40)) as k", "doc_id * 100 as d", "text", "source").selectExpr("d + k as doc_id", "text", "source")
     got = {}

@@ -8,7 +8,8 @@ partitionings and lost executors change nothing.
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; rows that share a doc_id share their coin; a source without
 words has rate 0 (its documents are not taken); an empty table gives an empty
-result; extra columns pass through.
+result; extra columns pass through, and the number of a copy is named ``copy``, or
+``copy_`` (and so on) beside a column of that name.
 """
 
 from __future__ import annotations
@@ -77,8 +78,11 @@ def with_copies(
 
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = 3, seed: str = "mix-1") -> DataFrame:
     """The mixed corpus: every row as often as it is taken, with its ``copy`` number."""
-    taken = with_copies(docs.drop("copy"), weights, cap, seed).where(F.col("__mix.copies") > 0)
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__mix.copies").cast("int")))).drop("__mix")
+    name = "copy"
+    while name in docs.columns:
+        name += "_"
+    taken = with_copies(docs, weights, cap, seed).where(F.col("__mix.copies") > 0)
+    return taken.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__mix.copies").cast("int")))).drop("__mix")
 
 
 def op4_mix(spark, sf_dir: str) -> DataFrame:
