@@ -131,3 +131,17 @@ def test_contract(spark):
     assert set(s) <= set(q) and len(q) > 60
     rows = e.entry(spark).collect()
     assert rows and {"reason", "n", "share"} == set(rows[0].asDict())
+
+
+def test_everything_else_works_without_the_training_data_folders(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here, there = Path(__file__).resolve().parents[1], tmp_path / "repo"
+    shutil.copytree(here, there, ignore=lambda d, names: {".git"} | ({"llm"} if Path(d).name in ("tests", "twinline") else set()))
+    say = "import __spark_entry__ as e, bench; q = e.queries(); print(len(q), len(e.oracle_sql()), sum(n == 'pipeline' or n.startswith('op') and n[2].isdigit() for n in q))"
+    out = subprocess.run([sys.executable, "-c", say], cwd=there, capture_output=True, text=True, timeout=120)
+    n, sql, llm = map(int, out.stdout.split())
+    assert n > 60 and sql > 50 and llm == 0

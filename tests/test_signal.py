@@ -26,28 +26,31 @@ def test_overlap_of_every_shift_by_rolling():
     assert np.allclose(sig.overlaps_of_all_shifts(a, b), want)
 
 
-def test_safe_shifts_leave_seams_silent():
+def test_rolls_leave_seams_silent():
     _, b = (sig.to_frames(m, 800) for m in masks(2, 20))
-    safe = sig.safe_shifts(b, 20)
+    cuts = sig.silent_cuts(b, 20)
     wide = sig.dilate(b, 20)
-    assert safe[0] and safe.sum() > 1
-    for k in np.flatnonzero(safe)[1:]:
-        assert not np.roll(wide, k)[0]
-    assert not any(not np.roll(wide, k)[0] for k in np.flatnonzero(~safe))
+    assert len(cuts) > 1 and (cuts == np.flatnonzero(~wide)).all()
     edge = b.copy()
     edge[0] = True
-    assert sig.safe_shifts(edge, 5).sum() == 1
+    assert sig.silent_cuts(edge, 5).tolist() == [0]
+    assert sig.silent_cuts(np.zeros(5, bool), 2).tolist() == [0, 1, 2, 3, 4] and sig.silent_cuts(np.ones(5, bool), 0).tolist() == [0]
 
 
-def test_shifts_reach_the_band():
+def test_rolls_reach_the_band():
     got = []
     for seed in range(25):
         a, b = masks(seed)
-        shift, ratio, reason = sig.shift_for_overlap(a, b, 800, (0.1, 0.25), random.Random(seed))
-        assert reason == "ok" and abs(sig.overlap_ratio(sig.to_frames(a, 800), np.roll(sig.to_frames(b, 800), shift // 8)) - ratio) < 1e-12
-        got.append(ratio)
+        fa, fb = sig.to_frames(a, 800), sig.to_frames(b, 800)
+        want = 0.1 + 0.15 * degrade.unit(seed)
+        r = sig.roll_for_overlap(a, b, 800, want, degrade.unit(seed, "tie"))
+        allowed = [k for k in range(len(fb)) if not sig.dilate(np.roll(fb, k), 20)[0] and not sig.dilate(fb, 20)[-k % len(fb)]]
+        best = min(abs(sig.overlap_ratio(fa, np.roll(fb, k)) - want) for k in allowed)
+        assert r.reason == "ok" and abs(sig.overlap_ratio(fa, np.roll(fb, r.samples // 8)) - r.overlap) < 1e-12
+        assert abs(abs(r.overlap - want) - best) < 1e-8
+        got.append(r.overlap)
     assert np.mean([(0.05 <= r <= 0.3) for r in got]) > 0.9 and np.ptp(got) > 0.05
-    assert sig.shift_for_overlap(a, np.zeros_like(b), 800, (0.1, 0.2), random.Random(1))[2] == "silent_source"
+    assert sig.roll_for_overlap(a, np.zeros_like(b), 800, 0.15).reason == "silent_source"
 
 
 def test_dilate_and_erode_by_definition():
@@ -86,8 +89,9 @@ def test_degradations():
     assert spec[600] > 0.95 * np.abs(np.fft.rfft(x))[600] and spec[7200] < 0.01 * spec[600]
     assert (sig.band_limit(x, 8000, 4000) == x).all()
     assert (sig.clip_percentiles(x, 0, 100) == x).all() and sig.clip_percentiles(x, 10, 90).max() < x.max()
-    y, lost = sig.packet_loss(x + 1, 8000, random.Random(1))
-    assert lost > 0 and (y == 0).sum() > 0 and (sig.packet_loss(x, 8000, random.Random(1), 0.0)[0] == x).all()
+    y, lost = sig.packet_loss(x + 1, 8000, 1)
+    assert lost > 0 and 0.02 < (y == 0).mean() < 0.25 and (sig.packet_loss(x, 8000, 1, 0.0)[0] == x).all()
+    assert sig.packet_loss(x[:0], 8000, 1)[1] == 0 and not sig.packet_loss(x + 1, 8000, 2, 1.0)[0].any()
     bed = sig.noise_bed(rng.normal(0, 0.1, 3000), 16000, random.Random(1), 500)
     assert len(bed) == 16000 and 0.05 < sig.rms(bed[5000:]) < 0.15
     noisy = sig.add_noise(x, bed, None, 10)
@@ -136,10 +140,11 @@ def test_built_calls_pass_and_broken_ones_fail():
 def test_recipes_toss_every_coin():
     s = degrade.Settings()
     rooms = degrade.Banks({"simulated": {"r": np.ones(4, np.float32)}}, {"n": np.ones(100, np.float32)})
-    n = [degrade.draw(random.Random(i), s, rooms) for i in range(2000)]
+    n = [degrade.draw(f"call{i}", s, rooms) for i in range(2000)]
     for step in degrade.STEPS:
         assert abs(np.mean([step in r for r in n]) - 0.5) < 0.05
-    assert all("reverb" not in degrade.draw(random.Random(i), s, degrade.Banks()) for i in range(50))
+    assert all(not {"reverb", "noise"} & set(degrade.draw(str(i), s, degrade.Banks())) for i in range(50))
+    assert all(2500 <= r["band_limit"]["cutoff_hz"] <= 3800 for r in n if "band_limit" in r) and len({r["packet_loss"]["seed"] for r in n if "packet_loss" in r}) > 900
 
 
 def test_wav_round_trip():
@@ -151,15 +156,25 @@ def test_wav_round_trip():
         audio.decode_wav(b"RIFFxxxxJUNK")
 
 
-def test_registry_and_retries():
-    r = registry.Registry("thing")
-    r.register("a")(lambda o: o["x"])
-    assert r.create("a", {"x": 3}) == 3 and "a" in r and r.names() == ["a"]
-    with pytest.raises(ValueError):
-        r.register("a")(int)
-    with pytest.raises(KeyError, match="there are a"):
-        r.create("b")
-
+def test_models_by_name(spark):
+    made = lambda column: lambda factor: lambda df: df.selectExpr(f"id * {factor} as {column}")
+    registry.provides("thing", "a", "x long", factor=2)(made("x"))
+    registry.provides("thing", "b", "x long", factor=...)(made("y"))
+    assert [r.x for r in registry.model("thing", "a", factor=3)(spark.range(3)).collect()] == [0, 3, 6]
+    assert registry.by_kind()["thing"] == ["a", "b"] and registry.by_kind()["vad"] == ["energy", "http"]
+    with pytest.raises(ValueError, match="two models"):
+        registry.provides("thing", "a", "x long")(made("x"))
+    with pytest.raises(LookupError, match="a, b, not c"):
+        registry.model("thing", "c")
+    with pytest.raises(ValueError, match="no option speed"):
+        registry.model("thing", "a", speed=1)
+    with pytest.raises(ValueError, match="needs factor"):
+        registry.model("thing", "b")
+    with pytest.raises(TypeError, match="no proper x"):
+        registry.model("thing", "b", factor=1)(spark.range(3))
+
+
+def test_retries():
     class Down(Exception):
         status = 503
 
@@ -183,7 +198,7 @@ def test_config(tmp_path):
     c = config.load(f, ["build.sir_db=[-1, 1]", "select.balance_gender=false"], tmp_path)
     assert c.seed == 7 and c.select.max_calls_per_speaker == 3 and c.build.sir_db == (-1.0, 1.0) and c.select.balance_gender is False
     assert c.paths.work_dir == tmp_path / "work" and c.filter.min_speech_sec == 3.0
-    for bad in ("nope=1", "build.nope=1", "seed", "select.balance_gender=2"):
+    for bad in ("nope=1", "build.nope=1", "seed", "select.balance_gender=2", "build=3", "seed=[1]"):
         with pytest.raises(ValueError):
             config.load(None, [bad])
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import clustering
 from ..sources import rttm
 from . import signal as sig
-from .registry import clusterers, diarizers, embedders, enhancers, genders, vads
+from .registry import model, provides
 
 
 def per_row(audio: DataFrame, make: Callable[[], Callable], schema: str, keep: str = "call string, channel int") -> DataFrame:
@@ -81,73 +81,71 @@ def spectral_vector(pcm: np.ndarray, sr: int, dim: int = 32, low: float = 50.0,
     return (v / max(np.linalg.norm(v), 1e-12)).tolist()
 
 
-SPANS = "array<struct<start:double,end:double>>"
+SPANS, VECTOR = "array<struct<start:double,end:double>>", "array<double>"
+GENDER, SAMPLES = "struct<label:string,confidence:double>", "array<float>"
+SEGMENTS = "call string, start double, end double, label string"
 
 
-@vads.register("energy")
-def _energy(options: dict):
-    return lambda audio: per_row(audio, lambda: lambda x, sr: energy_spans(x, sr, options.get("floor", 0.02), options.get("gap_s", 0.2)), SPANS)
+def valued(schema: str) -> str:
+    return f"call string, channel int, value {schema}, error string"
 
 
-@embedders.register("spectral")
-def _spectral(options: dict):
-    return lambda audio: per_row(audio, lambda: lambda x, sr: spectral_vector(x, sr, options.get("dim", 32)), "array<double>")
+@provides("vad", "energy", valued(SPANS), floor=0.02, gap_s=0.2)
+def _energy(floor, gap_s):
+    return lambda audio: per_row(audio, lambda: lambda x, sr: energy_spans(x, sr, floor, gap_s), SPANS)
 
 
-@genders.register("pitch")
-def _pitch(options: dict):
+@provides("embedder", "spectral", valued(VECTOR), dim=32)
+def _spectral(dim):
+    return lambda audio: per_row(audio, lambda: lambda x, sr: spectral_vector(x, sr, dim), VECTOR)
+
+
+@provides("gender", "pitch", valued(GENDER), split_hz=375.0)
+def _pitch(split_hz):
     def classify(x, sr):
         f = np.fft.rfftfreq(len(x), 1 / sr)[np.argmax(np.abs(np.fft.rfft(x.astype(float))))]
-        return {"label": "male" if f < options.get("split_hz", 375.0) else "female", "confidence": 1.0}
+        return {"label": "male" if f < split_hz else "female", "confidence": 1.0}
 
-    return lambda audio: per_row(audio, lambda: classify, "struct<label:string,confidence:double>")
+    return lambda audio: per_row(audio, lambda: classify, GENDER)
 
 
-@enhancers.register("gate")
-def _gate(options: dict):
+@provides("enhancer", "gate", valued(SAMPLES), k=1)
+def _gate(k):
     """Speech kept, the rest faded, at k times the rate: the shape of an enhancer without a model."""
-    k = options.get("k", 1)
 
     def enhance(x, sr):
         spans = [(s["start"], s["end"]) for s in energy_spans(x, sr)]
         return sig.resample(sig.zerofy(x, spans, sr)[0], sr, sr * k).tolist()
 
-    return lambda audio: per_row(audio, lambda: enhance, "array<float>")
+    return lambda audio: per_row(audio, lambda: enhance, SAMPLES)
 
 
-@diarizers.register("from_dir")
-def _from_dir(options: dict):
+@provides("diarizer", "from_dir", SEGMENTS, path=...)
+def _from_dir(path):
     """Adopts segments from RTTM files; no audio is read."""
-    return lambda recordings: rttm.read(recordings.sparkSession, options["path"]).join(recordings.select("call").distinct(), "call", "left_semi")
+    return lambda recordings: rttm.read(recordings.sparkSession, path).join(recordings.select("call").distinct(), "call", "left_semi")
 
 
-@diarizers.register("channels")
-def _channels(options: dict):
+@provides("diarizer", "channels", SEGMENTS, floor=0.02, gap_s=0.2)
+def _channels(floor, gap_s):
     """One speaker per channel, where it is loud; labels carry the channel so that they can't clash."""
 
     def diarize(audio: DataFrame) -> DataFrame:
-        spans = vads.create("energy", options)(audio).where("error is null")
+        spans = model("vad", "energy", floor=floor, gap_s=gap_s)(audio).where("error is null")
         rows = spans.select("call", (F.col("channel") + 1).alias("channel"), F.explode("value").alias("s"))
         return rows.select("call", "channel", "s.start", "s.end", F.format_string("ch%d_speaker_0", F.col("channel") - 1).alias("label"))
 
     return diarize
 
 
-def http(registry, name: str, schema: str) -> None:
-    """Registers a service: options carry ``post(samples, sr) -> value``, retried on server errors."""
-
-    @registry.register(name)
-    def _service(options: dict):
-        return lambda audio: per_row(audio, lambda: retrying(options["post"], options.get("tries", 3), options.get("pause_s", 0.5)), schema)
-
+for _kind, _schema in (("vad", SPANS), ("embedder", VECTOR), ("gender", GENDER), ("enhancer", SAMPLES), ("diarizer", "string")):
 
-http(vads, "http", SPANS)
-http(embedders, "http", "array<double>")
-http(genders, "http", "struct<label:string,confidence:double>")
-http(enhancers, "http", "array<float>")
-http(diarizers, "http", "string")
+    @provides(_kind, "http", valued(_schema), post=..., tries=3, pause_s=0.5)
+    def _service(post, tries, pause_s, schema=_schema):
+        """A service: ``post(samples, sr) -> value``, again on server errors."""
+        return lambda audio: per_row(audio, lambda: retrying(post, tries, pause_s), schema)
 
 
-@clusterers.register("constrained_ahc")
-def _ahc(options: dict):
-    return lambda vectors: clustering.constrained_clusters(vectors, options.get("threshold", 0.8), options.get("linkage", "complete"))
+@provides("clusterer", "constrained_ahc", "key string, speaker string", threshold=0.8, linkage="complete")
+def _ahc(threshold, linkage):
+    return lambda vectors: clustering.constrained_clusters(vectors, threshold, linkage)

@@ -375,7 +375,7 @@ def _per_call(spark, sf, row, schema):
         for b in batches:
             yield pd.DataFrame([r for c in b["call"] for r in row(int(c))], columns=[s.split()[0] for s in schema.split(", ")])
 
-    return calls.repartition(8, "call").mapInPandas(run, schema)
+    return calls.repartition("call").mapInPandas(run, schema)
 
 
 @query("shift_search")
@@ -385,8 +385,8 @@ def shift_search(spark, sf):
     def row(call):
         _, spans = _synthetic(call)
         masks = [sig.speech_mask(s, 20 * _SR, _SR) for s in spans]
-        shift, ratio, reason = sig.shift_for_overlap(*masks, _SR, (0.15, 0.6), random.Random(f"1234:{call}"))
-        return [(call, shift, round(ratio, 6), reason)]
+        roll = sig.roll_for_overlap(*masks, _SR, degrade.within((0.15, 0.6), 9, 1234, call, "overlap"), degrade.unit(1234, call, "tie"))
+        return [(call, roll.samples, round(roll.overlap, 6), roll.reason)]
 
     return _per_call(spark, sf, row, "call long, shift long, ratio double, reason string")
 
@@ -408,7 +408,7 @@ def degrade_variants(spark, sf):
         masks = [sig.speech_mask(p, len(x[0]), _SR) for p in spans]
         out = []
         for i in (0, 1):
-            y, recipes, gain = degrade.degrade(x, masks, _SR, s, _banks(), random.Random(f"1234:{call}:aug{i}"))
+            y, recipes, gain = degrade.degrade(x, masks, _SR, s, _banks(), f"1234:{call}:aug{i}")
             out.append((call, i, sig.rms(y), gain, "|".join(",".join(r) for r in recipes)))
         return out
 

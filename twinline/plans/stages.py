@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import degrade, models  # noqa: F401  the built-in models register on import
-from ..functions.registry import ALL, clusterers, diarizers, embedders, genders, vads
+from ..functions.registry import by_kind, model
 from ..operators import intervals, manifest, rules, selection, votes
 from ..sources import audio as audio_source
 from . import config as configs
@@ -61,7 +61,7 @@ def diarize(s: Store) -> None:
     c = s.cfg
     tables = [audio_source.read(s.spark, d, c.paths.pattern) for d in c.paths.audio_dirs]
     s.write("audio", rules.union_all(tables))
-    s.write("segments", _as_ms(diarizers.create("channels")(_audio(s))).select("call", "label", "channel", "start", "end"))
+    s.write("segments", _as_ms(model("diarizer", "channels")(_audio(s))).select("call", "label", "channel", "start", "end"))
 
 
 def filter_calls(s: Store) -> None:
@@ -85,7 +85,7 @@ def filter_calls(s: Store) -> None:
 
 def vad(s: Store) -> None:
     good = s.read("suitability").where("reason = 'suitable'").select("call")
-    found = vads.create("energy")(_audio(s).join(good, "call", "left_semi")).where("error is null")
+    found = model("vad", "energy")(_audio(s).join(good, "call", "left_semi")).where("error is null")
     spans = found.select("call", (F.col("channel") + 1).alias("channel"), F.explode("value").alias("v")).select("call", "channel", "v.start", "v.end")
     s.write("speech", intervals.subtract(_as_ms(spans), s.read("excluded"), ["call", "channel"]))
 
@@ -104,7 +104,7 @@ def embed(s: Store) -> None:
     e = s.cfg.embed
     long = s.read("speech").where(F.col("end") - F.col("start") >= e.min_speech_duration * MS)
     cut = _cut(intervals.split_long(long, e.longest_chunk_duration * MS), _sides(s)).withColumn("w", F.col("end") - F.col("start"))
-    got = embedders.create(e.backend)(cut.withColumn("call", F.concat_ws("\t", "call", "w"))).where("error is null")
+    got = model("embedder", e.backend)(cut.withColumn("call", F.concat_ws("\t", "call", "w"))).where("error is null")
     got = got.withColumn("p", F.split("call", "\t")).select(F.col("p")[0].alias("call"), "channel", F.col("p")[1].cast("double").alias("w"), "value")
     mean = votes.mean_vectors(got, ["call", "channel"], "value", F.col("w"))
     vec = mean.groupBy("call", "channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda r: r["x"]).alias("vec"))
@@ -115,7 +115,7 @@ def embed(s: Store) -> None:
 
 def cluster(s: Store) -> None:
     c = s.cfg.cluster
-    s.write("speakers", clusterers.create(c.backend, {"threshold": c.threshold})(s.read("sides").select("key", "grp", "vec")))
+    s.write("speakers", model("clusterer", c.backend, threshold=c.threshold)(s.read("sides").select("key", "grp", "vec")))
 
 
 def gender(s: Store) -> None:
@@ -125,7 +125,7 @@ def gender(s: Store) -> None:
     spoken = s.read("speech").where(F.col("end") - F.col("start") >= g.min_segment_sec * MS)
     some = windows.within_budget(spoken, ["call", "channel"], F.col("end") - F.col("start"), ["start"], g.segments_per_speaker, g.max_total_sec * MS)
     cut = _cut(some.select("call", "channel", "start", "end"), _sides(s)).withColumn("call", F.concat_ws("\t", "call", F.col("end") - F.col("start")))
-    got = genders.create(g.backend)(cut).where("error is null").withColumn("p", F.split("call", "\t"))
+    got = model("gender", g.backend)(cut).where("error is null").withColumn("p", F.split("call", "\t"))
     rows = got.select(F.concat_ws("_speaker_", F.col("p")[0], "channel").alias("key"), "value.label", (F.col("value.confidence") * F.col("p")[1].cast("double")).alias("w"))
     per_side = votes.vote(rows, ["key"], "label", F.col("w"))
     s.write("genders", votes.vote(per_side.join(s.read("speakers"), "key").select("speaker", "label", "confidence"), ["speaker"], "label", F.col("confidence")))
@@ -223,7 +223,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     cfg = configs.load(a.config, a.set)
     if a.command == "backends":
-        print("\n".join(f"{kind}: {', '.join(r.names())}" for kind, r in ALL.items()))
+        print("\n".join(f"{kind}: {', '.join(names)}" for kind, names in by_kind().items()))
     elif a.command == "config":
         print(json.dumps(cfg.as_dict(), default=str, indent=2))
     else:
