@@ -3,7 +3,12 @@
 Each stage works on all that its predecessor kept and returns the columns of
 documents; the last emits the mixed corpus, a row for every copy taken. Stages
 are written as Parquet in the shared folder and read again, so a lost executor
-costs tasks of one stage.
+costs tasks of one stage; what a stage wrote on its way is deleted when its result is stored.
+
+Defined results: a null text counts as an empty one and stays null; repeated rows
+are one document from the third stage on; a null doc_id sorts first, a null source is
+one of its own; extra columns pass through all stages; without labels nothing is rejected,
+without a benchmark nothing is contaminated; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from twinline.llm import decontam, lines, mixing, neardup, toxicity
-from twinline.llm.common import materialize
+from twinline.llm.common import clear, mark, materialize
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,5 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
+        since = mark()
         docs = materialize(stage(spark, docs, sf_dir), name)
+        clear(spark, since, keep=docs)
     return docs

@@ -35,12 +35,12 @@ def _delete(spark: SparkSession, name: str) -> bool:
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
-def clear(spark: SparkSession, since: int = 0) -> int:
-    """Deletes the tables written so far (those after the first ``since``); for when all results that read them are stored."""
-    n = 0
-    while len(_WRITTEN) > since:
-        n += _delete(spark, _WRITTEN.pop())
-    return n
+def clear(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
+    """Deletes the tables written so far (those after the first ``since``, but for ``keep``); for when all results that read them are stored."""
+    kept = None if keep is None else keep.written_to
+    gone = [x for x in _WRITTEN[since:] if x != kept]
+    _WRITTEN[since:] = [x for x in _WRITTEN[since:] if x == kept]
+    return sum(_delete(spark, x) for x in gone)
 
 
 def discard(*tables: DataFrame) -> None:
