@@ -48,3 +48,17 @@ def test_stages(spark, sf, tmp_path):
         copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
     assert set(copies) <= {r["doc_id"] for r in before} and max(copies.values()) <= 3
     assert sorted(map(str, corpus_pipeline.run(spark, sf).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_run_on_awkward_and_empty_tables(spark, awkward, empty, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "alpha beta gamma"), (None, None)], "item_id long, text string")
+    for name, docs in (("a", awkward), ("e", empty)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.limit(3 if name == "a" else 0).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        bench.limit(2 if name == "a" else 0).write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/a")
+    rows = out.collect()
+    assert out.columns == [*awkward.columns, "copy"] and corpus_pipeline.run(spark, f"{tmp_path}/e").count() == 0
+    assert 1 not in {r.doc_id for r in rows} and {r.doc_id for r in rows} <= {r.doc_id for r in awkward.collect()}
+    assert sum(r.text == "one two three four five six seven" and r["copy"] == 1 for r in rows) <= 1

@@ -7,12 +7,16 @@ the softmax of q . Q[w] + b[w] there; both are exact. Classes are stretches of
 words in order of count with equal sums of sqrt(p), as many as that sum, which makes
 the products of a token fewest, 2 sqrt(V) at most.
 Training is in numpy: word scores by noise contrast, with one set of noise words
-per minibatch, class scores by their softmax. Every worker takes minibatches over
-its share of the positions; after each round the workers' parameters are averaged,
-weighted by examples. Every position of every training document is an example, in
+per minibatch, class scores by their softmax. A worker counts the different
+(two words, next word) of its share of the positions and takes minibatches over these,
+weighted by their counts; one that comes often is split, so that it weighs ``OFTEN`` at
+most at a time. After each round the workers' parameters are averaged,
+weighted by positions. Every position of every training document is an example, in
 one of the ``ROUNDS``: a round takes every ROUNDS-th position of a document, from a
 start hashed from its id, and the next round starts one further.
 
+Texts are encoded once, into word numbers that training and scoring both read.
+
 The vocabulary grows with the corpus: it is every word that is seen at least
 ``least_count`` times, max(LEAST, sqrt(N) / ROOT) in N training tokens, without a
 limit on their number (there can't be more than ROOT sqrt(N)). The rarer words share
@@ -26,7 +30,7 @@ A document is held out if crc32 of its doc_id as text is 2 modulo 7.
 Defined results: null is the empty text, one end token; a null doc_id counts as
 the text ''; rows that share doc_id and text are scored alike, and each counts
 in training; without training documents N and V are 0 and every base score is
-0; an empty table gives an empty result.
+0; an empty table gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -48,7 +52,9 @@ FOLDS, HELD = 7, 2
 LEAST, ROOT = 5, 50
 #: Words whose counts every worker holds (about 20 bytes each), if the model's words aren't more.
 HEAD = 100_000
-DIM, NOISE, BATCH, ROUNDS = 24, 64, 250, 2
+DIM, NOISE, BATCH, ROUNDS, OFTEN = 24, 64, 250, 2, 16
+#: Tokens scored at a time.
+SCORED = 200_000
 #: Positions dealt to a worker, if the model's parameters aren't more; numbers of a model that are averaged in one row.
 SHARE, BLOCK = 4_000_000, 65_536
 END = b""
@@ -156,7 +162,7 @@ class Model:
 
 def climb(x: np.ndarray, speed: np.ndarray, rows: np.ndarray, values: np.ndarray, rate: float) -> None:
     """Adagrad's step on the rows that occur, the values of a repeated one summed."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16) if len(x) <= 1 << 16 else rows, kind="stable")  # short numbers sort by digits
     rows = rows[order]
     starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     g, rows = np.add.reduceat(values[order], starts, axis=0), rows[starts]
@@ -165,35 +171,57 @@ def climb(x: np.ndarray, speed: np.ndarray, rows: np.ndarray, values: np.ndarray
     x[rows] += rate * g / np.sqrt(s)
 
 
-def train_share(model: Model, w1, w2, w, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
-    """One pass of minibatches (Adagrad) over examples: noise contrast for words, softmax for classes."""
+def distinct(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(w1, w2, w, at): the different examples of a vocabulary of n and where each of the given is among them."""
+    key, at = np.unique((w1.astype(np.int64) * n + w2) * n + w, return_inverse=True)
+    return key // (n * n), key // n % n, key % n, at
+
+
+def weighted(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int, often: int = OFTEN) -> tuple[np.ndarray, ...]:
+    """(w1, w2, w, weight): the different examples with their counts, in parts of ``often`` at most."""
+    *different, at = distinct(w1, w2, w, n)
+    count = np.bincount(at, minlength=len(different[0]))
+    parts = -(-count // often)
+    again = np.repeat(np.arange(len(count)), parts)
+    return (*[x[again] for x in different], (count / parts).astype(np.float32)[again])
+
+
+def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
+    """One pass of minibatches (Adagrad) over weighted examples: noise contrast for words, softmax for classes."""
     rng = np.random.default_rng(seed)
     m = model.like(model.flat())
     sr, sq, sc, sb, su, sa = [np.full(x.shape, 1e-6, np.float32) for x in m.parts()]
     order = rng.permutation(len(w))
+    w1, w2, w, weight = w1[order], w2[order], w[order], weight[order]
     log_k = np.log(k * noise_p).astype(np.float32)
     cum = np.cumsum(noise_p)
     groups = m.groups()
     for i in range(0, len(w), batch):
-        at = order[i : i + batch]
+        at = slice(i, i + batch)
         a1, a2, y = w1[at], w2[at], w[at]
-        n = np.float32(1 / len(at))
+        n = weight[at] / weight[at].sum()
         noise = np.minimum(np.searchsorted(cum, rng.random(k)), len(cum) - 1)
         r1, r2, qy, qn = m.r[a1], m.r[a2], m.q[y], m.q[noise]
-        q = r1 @ m.c[0] + r2 @ m.c[1]
-        up = n / (1 + np.exp(np.clip((q * qy).sum(1) + m.b[y] - log_k[y], -30, 30)))  # pull on the true words
-        down = -n / (1 + np.exp(-np.clip(q @ qn.T + m.b[noise] - log_k[noise], -30, 30)))  # push on the noise
-        z = q @ m.u.T + m.a
+        q = r1 @ m.c[0]
+        q += r2 @ m.c[1]
+        true = np.einsum("ij,ij->i", q, qy) + m.b[y] - log_k[y]
+        up = n / (1 + np.exp(np.clip(true, -30, 30)))  # pull on the true words
+        false = q @ qn.T
+        false += m.b[noise] - log_k[noise]
+        down = -n[:, None] / (1 + np.exp(-np.clip(false, -30, 30, out=false)))  # push on the noise
+        z = q @ m.u.T
+        z += m.a
         z -= z.max(1, keepdims=True)
         np.exp(z, out=z)
-        z *= -n / z.sum(1, keepdims=True)
-        z[np.arange(len(at)), groups[y]] += n
-        gq = up[:, None] * qy + down @ qn + z @ m.u
-        seen = np.concatenate([y, noise])
+        z *= (-n / z.sum(1))[:, None]
+        z[np.arange(len(y)), groups[y]] += n
+        gq = down @ qn
+        gq += z @ m.u
+        gq += up[:, None] * qy
         gc = np.stack([r1.T @ gq, r2.T @ gq])
         climb(m.r, sr, np.concatenate([a1, a2]), np.concatenate([gq @ m.c[0].T, gq @ m.c[1].T]), rate)
-        climb(m.q, sq, seen, np.concatenate([up[:, None] * q, down.T @ q]), rate)
-        climb(m.b, sb, seen, np.concatenate([up, down.sum(0)]), rate)
+        climb(m.q, sq, np.concatenate([y, noise]), np.concatenate([up[:, None] * q, down.T @ q]), rate)
+        climb(m.b, sb, np.concatenate([y, noise]), np.concatenate([up, down.sum(0)]), rate)
         for x, g, s in ((m.c, gc, sc), (m.u, z.T @ q, su), (m.a, z.sum(0), sa)):
             s += g * g
             x += rate * g / np.sqrt(s)
@@ -218,10 +246,6 @@ class Lexicon:
     def begin(self) -> int:
         return self.vocab + 1
 
-    def own(self, ids: np.ndarray) -> np.ndarray:
-        """The model's ids of head indexes."""
-        return np.where((ids < 0) | (ids >= self.vocab), self.other, ids)
-
     def other_mass(self) -> tuple[int, int]:
         """Tokens and kinds outside the model's words."""
         return self.total - int(self.counts[: self.vocab].sum()), self.distinct - self.vocab
@@ -230,6 +254,11 @@ class Lexicon:
         return np.append(self.counts[: self.vocab], self.other_mass()[0]).astype(float)
 
 
+def own(ids: np.ndarray, vocab: int) -> np.ndarray:
+    """The model's ids of head indexes."""
+    return np.where((ids < 0) | (ids >= vocab), vocab, ids)
+
+
 def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     """(token, c) over all training documents, the end included; partial counts leave a worker ``flush`` words at a time."""
 
@@ -292,32 +321,17 @@ def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray,
     return w1, w2
 
 
-def text_batches(texts: list[str], limit: int = 1_000_000):
-    at = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= limit:
-            yield texts[at : i + 1]
-            at, total = i + 1, 0
-    if at < len(texts):
-        yield texts[at:]
-
-
-def examples(docs: DataFrame, lex: Lexicon) -> DataFrame:
-    """(d, w): the model's ids of all words of each training document."""
+def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(doc_id, held_out, h, ids, rare): head indexes of each text's tokens (-1 for words that aren't in the head), and those words."""
     shared = docs.sparkSession.sparkContext.broadcast(lex)
 
     def run(batches):
         for b in batches:
-            at = 0
-            for texts in text_batches(b["text"].tolist()):
-                ids, sizes, _ = encode(shared.value, texts)
-                d = b["d"].to_numpy()[at : at + len(texts)]
-                at += len(texts)
-                yield pd.DataFrame({"d": d, "w": np.split(shared.value.own(ids).astype(np.int32), np.cumsum(sizes)[:-1])})
+            ids, sizes, rare = encode(shared.value, b["text"].tolist())
+            yield b[["doc_id", "held_out", "h"]].assign(ids=np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1]) if len(b) else [], rare=rare)
 
-    base = docs.where(~held_out()).select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("d"), text_of().alias("text"))
-    return base.mapInPandas(run, "d long, w array<int>")
+    base = docs.select("doc_id", held_out().alias("held_out"), F.xxhash64("text").alias("h"), text_of().alias("text"))
+    return base.mapInPandas(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
 
 
 def chosen(d: np.ndarray, sizes: np.ndarray, i: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -327,9 +341,9 @@ def chosen(d: np.ndarray, sizes: np.ndarray, i: int, rounds: int = ROUNDS) -> np
     return np.flatnonzero((place + i) % rounds == np.repeat(first, sizes))
 
 
-def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> Model:
-    """Rounds of local training and averaging."""
-    spark = docs.sparkSession
+def fit(texts: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> Model:
+    """Rounds of local training and averaging over encoded texts."""
+    spark = texts.sparkSession
     noise = lex.unigrams()
     noise = (noise + 0.5) / (noise + 0.5).sum()
     model = Model.fresh(lex.unigrams())
@@ -337,7 +351,9 @@ def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE,
         return model
     # the models sent to be averaged are not more than the positions
     workers = -(-lex.total // max(share, len(model.flat())))
-    dealt = materialize(examples(docs, lex), "examples").withColumn("worker", F.pmod(F.xxhash64("d"), F.lit(workers)).cast("int"))
+    mine = texts.where("not held_out").select(F.coalesce("doc_id", F.lit(0)).alias("d"), "ids")
+    dealt = mine.withColumn("worker", F.pmod(F.xxhash64("d"), F.lit(workers)).cast("int"))
+    vocab = lex.vocab
     for i in range(rounds):
         state = spark.sparkContext.broadcast((model, noise))
 
@@ -345,18 +361,19 @@ def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE,
             m, p = state.value
 
             def train(k, d, rows):
-                sizes, w = np.array([len(r) for r in rows]), np.concatenate(rows)
+                sizes, w = np.array([len(r) for r in rows]), own(np.concatenate(rows), vocab)
                 w1, w2 = contexts(w, sizes, len(m.b))
                 use = chosen(np.array(d), sizes, i, rounds)
                 if not len(use):
                     return
-                flat = train_share(m, w1[use], w2[use], w[use], p, rate / (1 + i), 1000 * i + k).flat()
+                some = weighted(w1[use], w2[use], w[use], len(m.b) + 1)
+                flat = train_share(m, *some, p, rate / (1 + i), 1000 * i + k).flat()
                 for at in range(0, len(flat), BLOCK):
                     yield pd.DataFrame({"block": [at // BLOCK], "x": [flat[at : at + BLOCK].tobytes()], "n": [len(use)]})
 
             worker, ds, ws = None, [], []
             for b in batches:
-                for k, d, w in b[["worker", "d", "w"]].itertuples(index=False, name=None):
+                for k, d, w in b[["worker", "d", "ids"]].itertuples(index=False, name=None):
                     if k != worker and ws:
                         yield from train(worker, ds, ws)
                         ds, ws = [], []
@@ -386,21 +403,26 @@ def fit(docs: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE,
     return model
 
 
-def score_texts(texts: list[str], lex: Lexicon, model: Model) -> pd.DataFrame:
-    """n_tokens, n_known, known (sum of log10(c + 1) in the head), lm (log10 by the model, words of their own left out), n_other, rare."""
-    out = []
-    for some in text_batches(texts):
-        ids, sizes, rare = encode(lex, some)
-        owner = np.repeat(np.arange(len(some)), sizes)
-        logs = np.append(np.log10(lex.counts + 1.0), 0.0)
-        w = lex.own(ids)
-        got = model.log_prob(*contexts(w, sizes, lex.begin), w)
-        other = w == lex.other
-        total = lambda x: np.bincount(owner, x, len(some))  # noqa: B023, E731
+def scored(rows: list[np.ndarray], counts: np.ndarray, vocab: int, model: Model) -> pd.DataFrame:
+    """n_tokens, n_known, known (sum of log10(c + 1) in the head), own (that of words outside the model), lm (log10 by the model), n_other."""
+    out, at = [], 0
+    logs = np.append(np.log10(counts + 1.0), 0.0)
+    while at < len(rows):
+        end, total = at, 0
+        while end < len(rows) and (not total or total + len(rows[end]) <= SCORED):
+            total, end = total + len(rows[end]), end + 1
+        sizes, ids = np.array([len(r) for r in rows[at:end]]), np.concatenate(rows[at:end])
+        owner = np.repeat(np.arange(end - at), sizes)
+        w = own(ids, vocab)
+        *different, where = distinct(*contexts(w, sizes, vocab + 1), w, vocab + 2)
+        got = model.log_prob(*different)[where]
+        other = w == vocab
+        sums = lambda x: np.bincount(owner, x, end - at)  # noqa: B023, E731
         out.append(pd.DataFrame({
-            "n_tokens": sizes, "n_known": total((ids >= 0).astype(float)).astype(np.int64), "known": total(logs[ids]),
-            "own": total(np.where(other, logs[ids], 0.0)), "lm": total(got) / np.log(10), "n_other": total(other.astype(float)).astype(np.int64), "rare": rare,
+            "n_tokens": sizes, "n_known": sums((ids >= 0).astype(float)).astype(np.int64), "known": sums(logs[ids]),
+            "own": sums(np.where(other, logs[ids], 0.0)), "lm": sums(got) / np.log(10), "n_other": sums(other.astype(float)).astype(np.int64),
         }))
+        at = end
     return pd.concat(out, ignore_index=True)
 
 
@@ -408,21 +430,19 @@ def score(docs: DataFrame, least: int | None = None, head: int = HEAD) -> DataFr
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     counts = materialize(word_counts(docs), "counts")
     lex = lexicon(counts, least, head)
-    model = fit(docs, lex)
-    state = docs.sparkSession.sparkContext.broadcast((lex, model))
+    texts = materialize(encoded(docs, lex), "encoded")
+    model = fit(texts, lex)
+    state = docs.sparkSession.sparkContext.broadcast((lex.counts, lex.vocab, model))
 
     def run(batches):
-        lex, model = state.value
         for b in batches:
-            texts = b["text"].tolist()
-            if texts:
-                yield pd.concat([b[["doc_id", "held_out", "h"]].reset_index(drop=True), score_texts(texts, lex, model)], axis=1)
+            if len(b):
+                yield pd.concat([b[["doc_id", "held_out", "h"]].reset_index(drop=True), scored(b["ids"].tolist(), *state.value)], axis=1)
 
-    base = docs.select("doc_id", held_out().alias("held_out"), F.xxhash64("text").alias("h"), text_of().alias("text"))
-    schema = "doc_id long, held_out boolean, h long, n_tokens long, n_known long, known double, own double, lm double, n_other long, rare array<binary>"
-    rows = materialize(base.mapInPandas(run, schema), "scored")
+    schema = "doc_id long, held_out boolean, h long, n_tokens long, n_known long, known double, own double, lm double, n_other long"
+    rows = materialize(texts.select("doc_id", "held_out", "h", "ids").mapInPandas(run, schema), "scored")
     # the counts of rare words, joined once for each document that has them
-    rare = rows.where(F.size("rare") > 0).dropDuplicates(["doc_id", "h"]).select("doc_id", "h", F.explode("rare").alias("token"))
+    rare = texts.where(F.size("rare") > 0).dropDuplicates(["doc_id", "h"]).select("doc_id", "h", F.explode("rare").alias("token"))
     per = rare.join(counts, "token").groupBy("doc_id", "h").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("seen"))
     per = materialize(per, "rare").select(F.col("doc_id").alias("di"), F.col("h").alias("hi"), "more", "seen")
     out = rows.join(per, F.col("doc_id").eqNullSafe(F.col("di")) & (F.col("h") == F.col("hi")), "left")
