@@ -60,6 +60,9 @@ def test_every_stage_gives_the_planted_answer(built):
     assert built.read("manifest").count() == 16
     assert [r.check for r in built.read("problems").collect()] in ([], ["gender"])
     stats = {r.split: (r.rows, r.calls) for r in built.read("stats").collect()}
+    chunks = built.read("chunks").collect()
+    assert chunks and all(r.split == split[r.call] and r.end - r.start == 4.0 and r.start == 2.0 * r.w for r in chunks)
+    assert sum(r.chunks for r in built.read("stats").collect()) == len(chunks)
     assert sum(v[0] for v in stats.values()) == 16 and sum(v[1] for v in stats.values()) == 8
 
 

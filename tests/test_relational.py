@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from twinline.operators import audit, clustering, graph, intervals, manifest, rules, selection, similarity, votes, windows
 
 
@@ -218,3 +219,17 @@ def test_audits_find_what_is_planted(spark):
     assert audit.gender_share(rows).count() == 1
     full = rows.where("variant is null").select("call", "split")
     assert audit.partition_of(full, full, "call").count() == 0
+
+
+def test_numbers_are_dense_in_order(spark):
+    from twinline.operators import windows
+
+    df = spark.range(500).selectExpr("id", "id % 7 as k").repartition(6)
+    got = sorted((r.rn, -r.k, r.id) for r in windows.numbered(df, [F.desc("k"), F.col("id")]).collect())
+    assert [g[0] for g in got] == list(range(1, 501)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
+
+
+def test_many_small_components_follow_the_targets(spark):
+    calls = spark.range(30000).selectExpr("id as call", "array(id, id + 1000000) as speakers")
+    n = {r.split: r["count"] for r in selection.split_by_component(calls, {"train": 0.6, "dev": 0.3, "test": 0.1}).groupBy("split").count().collect()}
+    assert abs(n["train"] - 18000) < 400 and abs(n["dev"] - 9000) < 400 and abs(n["test"] - 3000) < 300

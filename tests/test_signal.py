@@ -210,3 +210,12 @@ def test_signal_queries_take_every_call(spark, tmp_path, name, rows):
     spark.range(7, 14).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
     got = [r.call for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted([*range(7, 14)] * rows)
+
+
+def test_usable_windows_by_hand():
+    on = lambda *spans: np.concatenate([np.full(n, v, np.float32) for v, n in spans])
+    a, b = on((1, 30), (0, 30), (1, 40)), on((0, 15), (1, 85))
+    want = [k for k in range(7) if a[10 * k : 10 * k + 40].sum() >= 15 and b[10 * k : 10 * k + 40].sum() >= 15]
+    assert degrade.usable_windows(a, b, 10, 4, 1, 1.5) == want and want
+    assert degrade.usable_windows(np.repeat(a, 3), b, 10, 4, 1, 1.5) == want
+    assert degrade.usable_windows(a[:20], b[:20], 10, 4, 1, 0.1) == []

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import graph, similarity
+from . import graph, similarity, windows
 
 
 def agglomerate(sim: np.ndarray, groups: np.ndarray, threshold: float, linkage: str = "complete") -> np.ndarray:
@@ -56,6 +56,5 @@ def constrained_clusters(vectors: DataFrame, threshold: float = 0.8, linkage: st
     linked = member.join(parts.select(F.col("node").alias("key")), "key", "left_semi").groupBy("component").applyInPandas(run, f"key {kind}, cluster {kind}")
     every = linked.unionByName(alone)
     sizes = every.groupBy("cluster").agg(F.count("*").alias("size"))
-    order = Window.orderBy(F.desc("size"), "cluster")
-    named = sizes.select("cluster", F.format_string("spk%05d", F.row_number().over(order)).alias("speaker"))
+    named = windows.numbered(sizes, [F.desc("size"), F.col("cluster")]).select("cluster", F.format_string("spk%05d", "rn").alias("speaker"))
     return every.join(named, "cluster").select("key", "speaker")

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.shared import materialize
 from . import graph
 
 
@@ -107,12 +108,12 @@ def balance_gender(calls: DataFrame, tolerance: float = 0.02) -> DataFrame:
     return calls.join(weak.select("call"), "call", "left_anti")
 
 
-def assign_splits(sizes: Sequence[tuple], targets: dict[str, float], seed: int = 1234) -> dict:
+def assign_splits(sizes: Sequence[tuple], targets: dict[str, float], seed: int = 1234, total: int | None = None) -> dict:
     """Component -> split: largest first, the second half shuffled, each to the split furthest below its target."""
     ordered = sorted(sizes, key=lambda p: (-p[1], p[0]))
     tail = ordered[len(ordered) // 2 :]
     random.Random(seed).shuffle(tail)
-    total = sum(n for _, n in sizes)
+    total = sum(n for _, n in sizes) if total is None else total
     have = dict.fromkeys(targets, 0)
     out = {}
     for component, n in [*ordered[: len(ordered) // 2], *tail]:
@@ -122,32 +123,56 @@ def assign_splits(sizes: Sequence[tuple], targets: dict[str, float], seed: int =
     return out
 
 
-def split_by_component(calls: DataFrame, targets: dict[str, float], seed: int = 1234) -> DataFrame:
+def split_by_component(calls: DataFrame, targets: dict[str, float], seed: int = 1234, large: float = 1e-4) -> DataFrame:
     """(call, component, split) for rows (call, speakers): speakers connected by calls share a split.
 
-    Only (component, size) reaches the driver; the assignment comes back as a
-    table and is joined.
+    Components above the share ``large`` of all calls, 1 / ``large`` of them at most,
+    are assigned on the driver; each of the others takes a split by a seeded hash, in proportion to
+    what the large ones leave of the targets.
     """
     spark = calls.sparkSession
     parts = graph.connected_components(calls.select(F.col("speakers")[0].alias("a"), F.explode("speakers").alias("b")))
-    placed = calls.select("call", F.col("speakers")[0].alias("node")).join(parts, "node").select("call", "component")
-    sizes = [(r.component, r.n) for r in placed.groupBy("component").agg(F.count("*").alias("n")).collect()]
-    chosen = assign_splits(sizes, targets, seed)
+    placed = materialize(calls.select("call", F.col("speakers")[0].alias("node")).join(parts, "node").select("call", "component"), "placed")
+    sizes = placed.groupBy("component").agg(F.count("*").alias("n"))
+    total = placed.count()
+    big = [(r.component, r.n) for r in sizes.where(F.col("n") > large * total).collect()]
+    chosen = assign_splits(big, targets, seed, total)
     kind = dict(placed.dtypes)["component"]
-    table = spark.createDataFrame(list(chosen.items()), f"component {kind}, split string")
-    return placed.join(table, "component")
-
-
-def exposure(sides: DataFrame, time: Column) -> DataFrame:
-    """How concentrated speech is on its loudest voices, from rows (speaker, time in ms)."""
-    per = sides.groupBy("speaker").agg(F.sum(time).alias("ms"))
-    order = Window.orderBy(F.desc("ms"), "speaker")
-    ranked = per.withColumn("rn", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy()))
-    at = F.rint(F.lit(0.01) * (F.col("n") - 1)) + 1
-    return ranked.agg(
-        F.count("*").alias("speakers"),
-        F.coalesce(F.max("ms"), F.lit(0)).alias("max_ms"),
-        F.coalesce(F.max(F.when(F.col("rn") == at, F.col("ms"))), F.lit(0)).alias("p99_ms"),
-        F.round(F.coalesce(F.sum(F.when(F.col("rn") <= 10, F.col("ms"))) / F.sum("ms"), F.lit(0.0)), 4).alias("top10_share"),
-        F.round(F.coalesce(F.sum("ms"), F.lit(0)) / 3.6e6, 3).alias("hours"),
+    known = spark.createDataFrame(list(chosen.items()), f"component {kind}, chosen string")
+    left = {s: max(0.0, share * total - sum(n for c, n in big if chosen[c] == s)) for s, share in targets.items()}
+    u = F.pmod(F.xxhash64(F.lit(seed), "component"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    split, below = F.lit(list(targets)[-1]), 1.0
+    for s in list(targets)[:0:-1]:  # from the last: those below its start go to the ones before
+        below -= left[s] / max(1e-9, sum(left.values()))
+        split = F.when(u >= below, split).otherwise(F.lit(list(targets)[list(targets).index(s) - 1]))
+    return placed.join(F.broadcast(known), "component", "left").select("call", "component", F.coalesce("chosen", split).alias("split"))
+
+
+def exposure(sides: DataFrame, time: Column, steps: int = 65_536) -> DataFrame:
+    """How concentrated speech is on its loudest voices, from rows (speaker, time in ms).
+
+    The voice at the upper hundredth is looked for among those in its one of
+    ``steps`` equal ranges; no task ranks all voices.
+    """
+    per = materialize(sides.groupBy("speaker").agg(F.sum(time).alias("ms")), "voices")
+    one = per.agg(F.count("*").alias("n"), F.coalesce(F.max("ms"), F.lit(0)).alias("top"), F.coalesce(F.sum("ms"), F.lit(0)).alias("total")).first()
+    loudest = per.orderBy(F.desc("ms"), "speaker").limit(10).agg(F.sum("ms").alias("ms")).first().ms
+    rank = round(0.01 * (one.n - 1)) + 1  # half to even, as SQL's rint
+    step = F.least(F.floor(F.col("ms") * steps / F.lit(max(1, one.top))), F.lit(steps)).alias("step")
+    counts = {r.step: r.n for r in per.where("ms is not null").groupBy(step).agg(F.count("*").alias("n")).collect()}
+    seen, at = 0, None
+    for k in sorted(counts, reverse=True):
+        at = k
+        if seen + counts[k] >= rank:
+            break
+        seen += counts[k]
+    some = per.where(step == F.lit(at)).orderBy(F.desc("ms")).select("ms").limit(max(1, rank - seen)) if at is not None else per.limit(0).select("ms")
+    found = some.agg(F.coalesce(F.min("ms"), F.lit(0)).cast("long").alias("p99_ms"))
+    share = round((loudest or 0) / one.total, 4) if one.total else 0.0
+    return found.select(
+        F.lit(one.n).cast("long").alias("speakers"),
+        F.lit(int(one.top)).cast("long").alias("max_ms"),
+        "p99_ms",
+        F.lit(float(share)).alias("top10_share"),
+        F.lit(round(one.total / 3.6e6, 3)).cast("double").alias("hours"),
     )

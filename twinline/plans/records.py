@@ -206,11 +206,11 @@ def variant_full_outer(spark, sf):
 @query(
     "chunk_split_audit",
     f"""with {MANIFEST}, {_CHUNKS}, c as (select call, min(split) as split from man group by call)
-select 'chunk_split' as check, call || ':' || w as key, 'train ' || split as message from ck join c using (call) where w = 0 and split <> 'train'""",
+select 'chunk_split' as check, call || ':' || w as key, 'train ' || split as message from ck join c using (call) where split <> 'train'""",
 )
 def chunk_split_audit(spark, sf):
     m = t.manifest(spark, sf)
-    chunks = _chunks(spark, sf).where("w = 0").withColumn("split", F.lit("train"))
+    chunks = _chunks(spark, sf).withColumn("split", F.lit("train"))
     return audit.chunk_splits(chunks, m)
 
 
@@ -282,12 +282,12 @@ def allowlist_reroot(spark, sf):
     "noise_screen",
     """with c as (select ps.p_partkey as clip, p_size / 10.0 as seconds, p_retailprice % 100 / 100.0 as speech from part ps), o as (
   select *, row_number() over (order by md5('77:' || clip), clip) as rn from c where seconds >= 0.5
-) select clip, round(seconds, 3) as seconds, round(speech, 6) as speech from o where rn <= 600 and speech / seconds <= 0.05""",
+) select clip, round(seconds, 3) as seconds, round(speech, 6) as speech from o where rn <= 6000 and speech / seconds <= 0.05""",
 )
 def noise_screen(spark, sf):
     """A seeded sample of clips, of which those with little speech are kept."""
     p = t.table(spark, sf, "part").select(F.col("p_partkey").alias("clip"), (F.col("p_size") / 10.0).alias("seconds"), (F.col("p_retailprice") % 100 / 100.0).alias("speech"))
-    some = p.where("seconds >= 0.5").orderBy(F.md5(F.concat(F.lit("77:"), F.col("clip").cast("string"))), "clip").limit(600)
+    some = p.where("seconds >= 0.5").orderBy(F.md5(F.concat(F.lit("77:"), F.col("clip").cast("string"))), "clip").limit(6000)
     return some.where("speech / seconds <= 0.05").select("clip", F.round("seconds", 3).alias("seconds"), F.round("speech", 6).alias("speech"))
 
 
@@ -375,7 +375,7 @@ def _per_call(spark, sf, row, schema):
         for b in batches:
             yield pd.DataFrame([r for c in b["call"] for r in row(int(c))], columns=[s.split()[0] for s in schema.split(", ")])
 
-    return calls.repartition("call").mapInPandas(run, schema)
+    return calls.repartition(spark.sparkContext.defaultParallelism, "call").mapInPandas(run, schema)
 
 
 @query("shift_search")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import clustering, graph, intervals, rules, selection, similarity, votes, windows
+from ..operators import clustering, graph, intervals, manifest, rules, selection, similarity, votes, windows
 from . import standins as t
 from .standins import MANIFEST, SEG, SIDES, VEC, cells, islands
 
@@ -298,11 +298,10 @@ def keep_first_by_key(spark, sf):
 
 @query(
     "pending_antijoin",
-    "select doc_id from documents where doc_id not in (select doc_id from labels where doc_id is not null) order by doc_id limit 100",
+    "select doc_id from documents where doc_id not in (select doc_id from labels where doc_id is not null)",
 )
 def pending_antijoin(spark, sf):
-    done = t.table(spark, sf, "labels").select("doc_id")
-    return t.table(spark, sf, "documents").select("doc_id").join(done, "doc_id", "left_anti").orderBy("doc_id").limit(100)
+    return manifest.pending(t.table(spark, sf, "documents").select("doc_id"), t.table(spark, sf, "labels"), "doc_id")
 
 
 @query(

@@ -158,7 +158,7 @@ def build(s: Store) -> None:
     cuts = s.read("excluded").groupBy("call", "channel").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
     sides = _sides(s).join(chosen, "call", "left_semi").join(spans, ["call", "channel"]).join(cuts, ["call", "channel"], "left")
     rows = sides.groupBy("call").agg(F.sort_array(F.collect_list(F.struct("channel", "sr", "pcm", "spans", "cuts"))).alias("x")).where(F.size("x") == 2)
-    schema = "call string, sr int, mix array<float>, s1 array<float>, s2 array<float>, meta string, variants array<struct<index:int,samples:array<float>,recipes:string>>, problems array<string>"
+    schema = "call string, sr int, mix array<float>, s1 array<float>, s2 array<float>, meta string, variants array<struct<index:int,samples:array<float>,recipes:string>>, chunks array<long>, problems array<string>"
 
     def run(batches):
         sec = lambda spans: [(p["start"] / MS, p["end"] / MS) for p in spans] if spans is not None else []
@@ -170,25 +170,38 @@ def build(s: Store) -> None:
                 bad = degrade.check_call(r, sr, how)
                 meta = {k: v for k, v in r.items() if k not in ("mix", "s1", "s2", "variants")}
                 vs = [{"index": v["index"], "samples": v["samples"], "recipes": json.dumps(v["recipes"])} for v in r["variants"]]
-                out.append((call, sr, r["mix"], r["s1"], r["s2"], json.dumps(meta), vs, bad))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in ("call", "sr", "mix", "s1", "s2", "meta", "variants", "problems")])
+                chunks = degrade.usable_windows(r["s1"], r["s2"], sr, b.chunk_sec, b.chunk_hop, b.min_active_per_src)
+                out.append((call, sr, r["mix"], r["s1"], r["s2"], json.dumps(meta), vs, chunks, bad))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in ("call", "sr", "mix", "s1", "s2", "meta", "variants", "chunks", "problems")])
 
     s.write("built", rows.mapInPandas(run, schema))
     made = s.read("built")
     variant = F.explode(F.concat(F.array(F.lit(None).cast("int")), F.col("variants.index")))
     listed = made.select("call", (F.size("mix") / F.col("sr")).alias("duration"), variant.alias("variant")).join(chosen, "call")
     s.write("manifest", listed)
-    chunks = made.select("call", F.lit("").alias("w")).limit(0).join(chosen.select("call", "split"), "call")
-    s.write("stats", manifest.split_rollup(listed, chunks, list(s.cfg.select.splits)))
+    # whole windows in which both sources are active; w counts hops
+    at = F.col("w") * b.chunk_hop
+    chunks = made.select("call", F.explode("chunks").alias("w")).join(chosen.select("call", "split"), "call")
+    s.write("chunks", chunks.withColumns({"start": at, "end": at + b.chunk_sec}))
+    s.write("stats", manifest.split_rollup(listed, s.read("chunks"), list(s.cfg.select.splits)))
 
 
 def verify(s: Store) -> None:
     from ..operators import audit
 
     m = s.read("manifest")
-    listed = s.read("selection").select("call")
-    signal = audit.violations(s.read("built").select("call", F.explode("problems").alias("p")), "signal", "call", F.col("p"))
-    s.write("problems", audit.verdict([audit.leaks(m), audit.orphans(m.select("call").distinct(), listed, "call"), audit.gender_share(m), signal]))
+    c, chosen, built = s.cfg.select, s.read("selection"), s.read("built")
+    signal = audit.violations(built.select("call", F.explode("problems").alias("p")), "signal", "call", F.col("p"))
+    sides = chosen.select("call", F.explode(F.arrays_zip("speakers", "times")).alias("x")).select("call", F.col("x.speakers").alias("speaker"), F.col("x.times").alias("ms"))
+    limit = selection.enabled(c.max_duration_per_speaker)
+    variants = built.select("call", F.explode("variants.index").alias("variant"))
+    checks = [
+        audit.leaks(m), audit.orphans(m.select("call").distinct(), chosen.select("call"), "call"), audit.gender_share(m), signal,
+        audit.caps(m, sides, selection.enabled(c.max_calls_per_speaker), None if limit is None else int(limit * MS)),
+        audit.chunk_splits(s.read("chunks"), m), audit.variants_agree(m.where("variant is not null").select("call", "variant"), variants),
+        audit.partition_of(chosen.select("call", "split"), m.where("variant is null").select("call", "split"), "call"),
+    ]
+    s.write("problems", audit.verdict(checks))
 
 
 STAGES: dict[str, tuple[Callable[[Store], None], list[str], str]] = {
