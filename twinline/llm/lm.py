@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_of
-from .hashing import mix
+from .hashing import batches_of, mix
 
 FOLDS, HELD = 7, 2
 #: A word of the model is seen LEAST times and sqrt(tokens) / ROOT times at least.
@@ -56,7 +56,7 @@ DIM, NOISE, BATCH, ROUNDS, OFTEN = 24, 64, 250, 2, 16
 #: Tokens scored at a time.
 SCORED = 200_000
 #: Positions dealt to a worker, if the model's parameters aren't more; numbers of a model that are averaged in one row.
-SHARE, BLOCK = 4_000_000, 65_536
+SHARE, BLOCK = 2_000_000, 65_536
 END = b""
 
 
@@ -179,11 +179,15 @@ def distinct(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int) -> tuple[np.
 
 def weighted(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int, often: int = OFTEN) -> tuple[np.ndarray, ...]:
     """(w1, w2, w, weight): the different examples with their counts, in parts of ``often`` at most."""
-    *different, at = distinct(w1, w2, w, n)
-    count = np.bincount(at, minlength=len(different[0]))
+    key = w1.astype(np.int64)
+    for x in (w2, w):
+        key *= n
+        key += x
+    key, count = np.unique(key, return_counts=True)
     parts = -(-count // often)
     again = np.repeat(np.arange(len(count)), parts)
-    return (*[x[again] for x in different], (count / parts).astype(np.float32)[again])
+    weight, key = (count / parts).astype(np.float32)[again], key[again]
+    return (key // (n * n)).astype(np.int32), (key // n % n).astype(np.int32), (key % n).astype(np.int32), weight
 
 
 def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
@@ -256,7 +260,7 @@ class Lexicon:
 
 def own(ids: np.ndarray, vocab: int) -> np.ndarray:
     """The model's ids of head indexes."""
-    return np.where((ids < 0) | (ids >= vocab), vocab, ids)
+    return np.where((ids < 0) | (ids >= vocab), ids.dtype.type(vocab), ids)
 
 
 def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
@@ -314,9 +318,10 @@ def encode(lex: Lexicon, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list
 def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
     """(word before, word before that) of every place in texts of so many words."""
     start = np.cumsum(sizes) - sizes
-    w1 = np.concatenate([[begin], w[:-1]])
+    w1, w2 = np.full_like(w, begin), np.full_like(w, begin)
+    w1[1:] = w[:-1]
     w1[start] = begin
-    w2 = np.concatenate([[begin], w1[:-1]])
+    w2[1:] = w1[:-1]
     w2[start] = begin
     return w1, w2
 
@@ -327,8 +332,10 @@ def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids, sizes, rare = encode(shared.value, b["text"].tolist())
-            yield b[["doc_id", "held_out", "h"]].assign(ids=np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1]) if len(b) else [], rare=rare)
+            for lo, hi in batches_of([len(t) for t in b["text"]], 1_000_000):
+                some = b.iloc[lo:hi]
+                ids, sizes, rare = encode(shared.value, some["text"].tolist())
+                yield some[["doc_id", "held_out", "h"]].assign(ids=np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1]), rare=rare)
 
     base = docs.select("doc_id", held_out().alias("held_out"), F.xxhash64("text").alias("h"), text_of().alias("text"))
     return base.mapInPandas(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
@@ -364,12 +371,14 @@ def fit(texts: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE
                 sizes, w = np.array([len(r) for r in rows]), own(np.concatenate(rows), vocab)
                 w1, w2 = contexts(w, sizes, len(m.b))
                 use = chosen(np.array(d), sizes, i, rounds)
-                if not len(use):
+                n = len(use)
+                if not n:
                     return
                 some = weighted(w1[use], w2[use], w[use], len(m.b) + 1)
+                del w, w1, w2, use
                 flat = train_share(m, *some, p, rate / (1 + i), 1000 * i + k).flat()
                 for at in range(0, len(flat), BLOCK):
-                    yield pd.DataFrame({"block": [at // BLOCK], "x": [flat[at : at + BLOCK].tobytes()], "n": [len(use)]})
+                    yield pd.DataFrame({"block": [at // BLOCK], "x": [flat[at : at + BLOCK].tobytes()], "n": [n]})
 
             worker, ds, ws = None, [], []
             for b in batches:
