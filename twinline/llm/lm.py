@@ -38,6 +38,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -53,8 +54,8 @@ LEAST, ROOT = 5, 50
 #: Words whose counts every worker holds (about 20 bytes each), if the model's words aren't more.
 HEAD = 100_000
 DIM, NOISE, BATCH, ROUNDS, OFTEN = 24, 64, 250, 2, 16
-#: Tokens scored at a time.
-SCORED = 200_000
+#: Tokens scored at a time, and the numbers of a product of theirs that is held at once (a megabyte, which stays in a core's cache).
+SCORED, CELLS = 500_000, 262_144
 #: Positions dealt to a worker, if the model's parameters aren't more; numbers of a model that are averaged in one row.
 SHARE, BLOCK = 2_000_000, 65_536
 END = b""
@@ -130,33 +131,40 @@ class Model:
         within = [log_softmax(q @ x.T + b) for x, b in each]
         return np.concatenate([x + group[:, [k]] for k, x in enumerate(within)], 1)
 
-    def log_prob(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, rows: int = 4000) -> np.ndarray:
-        """Of one word after each context: its class, and it among the words of its class."""
-        n, groups = len(w), self.groups()
-        order = np.argsort(w, kind="stable")
-        q, y = self.state(w1[order], w2[order]), w[order]
-        g, got = groups[y], np.empty(n)
+    def log_prob(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, rows: int | None = None) -> np.ndarray:
+        """Of one word after each context: its class, and it among the words of its class; products of CELLS numbers or of ``rows`` contexts at a time.
 
-        def part(z, at):
-            hit = z[np.arange(len(z)), at]
-            top = z.max(1, keepdims=True)
+        A context that stands several times in a row has the sum over its classes taken once.
+        """
+        new = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))[: len(w)]
+        which = np.cumsum(new) - 1
+        q = (self.r @ self.c[0])[w1[new]]
+        q += (self.r @ self.c[1])[w2[new]]
+        blocks = lambda lo, hi, size: ((i, min(i + size, hi)) for i in range(lo, hi, size))
+
+        def log_sum(z):
+            top = z.max(0)
             z -= top
-            return hit - top[:, 0] - np.log(np.exp(z, out=z).sum(1))
+            return top + np.log(np.exp(z, out=z).sum(0))
 
-        for lo in range(0, n, rows):
-            at = slice(lo, lo + rows)
-            got[at] = part(q[at] @ self.u.T + self.a, g[at])
-        cuts = np.searchsorted(g, np.arange(len(self.a) + 1))
+        every, out, groups = np.empty(len(q), np.float32), np.empty(len(w)), self.groups()
+        for i, j in blocks(0, len(q), rows or max(16, CELLS // len(self.a))):
+            every[i:j] = log_sum(self.u @ q[i:j].T + self.a[:, None])
+        order = np.argsort(w.astype(np.uint16) if len(self.b) <= 1 << 16 else w, kind="stable")
+        cuts = np.searchsorted(groups[w[order]], np.arange(len(self.a) + 1))
         for k in np.flatnonzero(np.diff(cuts)):
-            start = self.starts[k]
-            own = slice(start, self.starts[k + 1] if k + 1 < len(self.a) else len(self.b))
-            if len(self.b[own]) == 1:
-                continue
-            for lo in range(cuts[k], cuts[k + 1], rows):
-                at = slice(lo, min(lo + rows, cuts[k + 1]))
-                got[at] += part(q[at] @ self.q[own].T + self.b[own], y[at] - start)
-        out = np.empty(n)
-        out[order] = got
+            own = slice(self.starts[k], self.starts[k + 1] if k + 1 < len(self.a) else len(self.b))
+            x, bias = self.q[own], self.b[own][:, None]
+            for i, j in blocks(cuts[k], cuts[k + 1], rows or max(16, CELLS // len(bias))):
+                at = order[i:j]
+                mine = q.take(which[at], 0)
+                got = mine @ self.u[k] + self.a[k] - every[which[at]]
+                if len(bias) > 1:
+                    z = x @ mine.T
+                    z += bias
+                    hit = z[w[at] - self.starts[k], np.arange(j - i)]
+                    got += hit - log_sum(z)
+                out[at] = got
         return out
 
 
@@ -164,11 +172,22 @@ def climb(x: np.ndarray, speed: np.ndarray, rows: np.ndarray, values: np.ndarray
     """Adagrad's step on the rows that occur, the values of a repeated one summed."""
     order = np.argsort(rows.astype(np.uint16) if len(x) <= 1 << 16 else rows, kind="stable")  # short numbers sort by digits
     rows = rows[order]
-    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    g, rows = np.add.reduceat(values[order], starts, axis=0), rows[starts]
-    s = speed[rows] + g * g
+    edge = np.ones(len(rows) + 1, bool)
+    np.not_equal(rows[1:], rows[:-1], out=edge[1:-1])
+    starts = edge.nonzero()[0]
+    counts, starts = starts[1:] - starts[:-1], starts[:-1]
+    g, rows = values.take(order[starts], 0), rows[starts]
+    many = (counts > 1).nonzero()[0]
+    if len(many):  # most rows come once and need no sum
+        again = order[~(edge[:-1] & edge[1:])]
+        g[many] = np.add.reduceat(values.take(again, 0), np.cumsum(counts[many]) - counts[many], axis=0)
+    s = speed.take(rows, 0)
+    s += g * g
     speed[rows] = s
-    x[rows] += rate * g / np.sqrt(s)
+    np.divide(g, np.sqrt(s, out=s), out=s)
+    s *= rate
+    s += x.take(rows, 0)
+    x[rows] = s
 
 
 def distinct(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -191,45 +210,55 @@ def weighted(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int, often: int =
 
 
 def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
-    """One pass of minibatches (Adagrad) over weighted examples: noise contrast for words, softmax for classes."""
+    """One pass of minibatches (Adagrad) over weighted examples: noise contrast for words, softmax for classes.
+
+    Biases are the last column of their vectors here, and the two matrices are one above the other.
+    """
     rng = np.random.default_rng(seed)
-    m = model.like(model.flat())
-    sr, sq, sc, sb, su, sa = [np.full(x.shape, 1e-6, np.float32) for x in m.parts()]
+    dim = model.r.shape[1]
+    r, c = model.r.copy(), model.c.reshape(2 * dim, dim).copy()
+    qb, ua = np.column_stack([model.q, model.b]), np.column_stack([model.u, model.a])
+    sr, sc, sq, su = [np.full(x.shape, 1e-6, np.float32) for x in (r, c, qb, ua)]
     order = rng.permutation(len(w))
-    w1, w2, w, weight = w1[order], w2[order], w[order], weight[order]
+    before, w, weight = np.stack([w1[order], w2[order]], 1), w[order], weight[order]
     log_k = np.log(k * noise_p).astype(np.float32)
     cum = np.cumsum(noise_p)
-    groups = m.groups()
+    groups = model.groups()
     for i in range(0, len(w), batch):
         at = slice(i, i + batch)
-        a1, a2, y = w1[at], w2[at], w[at]
-        n = weight[at] / weight[at].sum()
+        y, n = w[at], weight[at] / weight[at].sum()
         noise = np.minimum(np.searchsorted(cum, rng.random(k)), len(cum) - 1)
-        r1, r2, qy, qn = m.r[a1], m.r[a2], m.q[y], m.q[noise]
-        q = r1 @ m.c[0]
-        q += r2 @ m.c[1]
-        true = np.einsum("ij,ij->i", q, qy) + m.b[y] - log_k[y]
-        up = n / (1 + np.exp(np.clip(true, -30, 30)))  # pull on the true words
-        false = q @ qn.T
-        false += m.b[noise] - log_k[noise]
-        down = -n[:, None] / (1 + np.exp(-np.clip(false, -30, 30, out=false)))  # push on the noise
-        z = q @ m.u.T
-        z += m.a
-        z -= z.max(1, keepdims=True)
+        words = np.concatenate([y, noise])
+        rows = before[at].ravel()
+        seen, qw, lw = r.take(rows, 0).reshape(len(y), 2 * dim), qb.take(words, 0), log_k[words]
+        qy, qn = qw[: len(y)], qw[len(y) :]
+        q = np.ones((len(y), dim + 1), np.float32)
+        np.matmul(seen, c, out=q[:, :dim])
+        true = np.einsum("ij,ij->i", q, qy) - lw[: len(y)]
+        up = (n / (1 + np.exp(np.clip(true, -30, 30))))[:, None]  # pull on the true words
+        down = q @ qn.T  # push on the noise
+        down -= lw[len(y) :]
+        np.clip(down, -30, 30, out=down)
+        np.exp(np.negative(down, out=down), out=down)
+        down += 1
+        np.divide(-n[:, None], down, out=down)
+        z = ua @ q.T
+        z -= z.max(0)
         np.exp(z, out=z)
-        z *= (-n / z.sum(1))[:, None]
-        z[np.arange(len(y)), groups[y]] += n
+        z *= -n / z.sum(0)
+        z[groups[y], np.arange(len(y))] += n
         gq = down @ qn
-        gq += z @ m.u
-        gq += up[:, None] * qy
-        gc = np.stack([r1.T @ gq, r2.T @ gq])
-        climb(m.r, sr, np.concatenate([a1, a2]), np.concatenate([gq @ m.c[0].T, gq @ m.c[1].T]), rate)
-        climb(m.q, sq, np.concatenate([y, noise]), np.concatenate([up[:, None] * q, down.T @ q]), rate)
-        climb(m.b, sb, np.concatenate([y, noise]), np.concatenate([up, down.sum(0)]), rate)
-        for x, g, s in ((m.c, gc, sc), (m.u, z.T @ q, su), (m.a, z.sum(0), sa)):
+        gq += z.T @ ua
+        gq += up * qy
+        gq = gq[:, :dim]
+        gc, gu = seen.T @ gq, z @ q
+        climb(r, sr, rows, (gq @ c.T).reshape(len(rows), dim), rate)
+        climb(qb, sq, words, np.concatenate([up * q, down.T @ q]), rate)
+        for x, g, s in ((c, gc, sc), (ua, gu, su)):
             s += g * g
             x += rate * g / np.sqrt(s)
-    return m
+    cut = lambda x: (np.ascontiguousarray(x[:, :dim]), x[:, dim].copy())
+    return Model(r, cut(qb)[0], c.reshape(2, dim, dim), cut(qb)[1], *cut(ua), model.starts)
 
 
 @dataclass
@@ -308,7 +337,7 @@ def encode(lex: Lexicon, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list
     get, parts, sizes, rare = lex.index.get, [], [], []
     for t in texts:
         words = tokens(t)
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         parts += [ids, np.array([get(END, -1)])]
         sizes.append(len(words) + 1)
         rare.append([words[i] for i in np.flatnonzero(ids < 0)])
