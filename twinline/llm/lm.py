@@ -38,10 +38,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +62,13 @@ SHARE, BLOCK = 2_000_000, 65_536
 END = b""
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words in A-Z lower case, without the end."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def tokens(text: bytes) -> list[bytes]:
+    """Words of a text in UTF-8, in A-Z lower case, without the end."""
+    return text.lower().split()
+
+
+def utf8() -> Column:
+    return text_of().cast("binary").alias("text")
 
 
 def held_out() -> Column:
@@ -306,7 +311,7 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
                     counts.clear()
         yield pd.DataFrame({"token": list(counts), "c": list(counts.values())})
 
-    some = docs.where(~held_out()).select(text_of().alias("text")).mapInPandas(run, "token binary, c long")
+    some = docs.where(~held_out()).select(utf8()).mapInPandas(run, "token binary, c long")
     return some.groupBy("token").agg(F.sum("c").alias("c"))
 
 
@@ -332,16 +337,16 @@ def lexicon(counts: DataFrame, least: int | None = None, head: int = HEAD) -> Le
     return Lexicon({w: i for i, w in enumerate(held)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
 
 
-def encode(lex: Lexicon, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def encode(lex: Lexicon, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     """(head index or -1 of every token, tokens in each text, the words of each text that aren't in the head)."""
     get, parts, sizes, rare = lex.index.get, [], [], []
     for t in texts:
         words = tokens(t)
-        ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
-        parts += [ids, np.array([get(END, -1)])]
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
+        parts += [ids, np.array([get(END, -1)], np.int32)]
         sizes.append(len(words) + 1)
         rare.append([words[i] for i in np.flatnonzero(ids < 0)])
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array(sizes, np.int64), rare
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array(sizes, np.int64), rare
 
 
 def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -356,18 +361,26 @@ def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray,
 
 
 def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
-    """(doc_id, held_out, h, ids, rare): head indexes of each text's tokens (-1 for words that aren't in the head), and those words."""
+    """(doc_id, held_out, h, ids, rare): a number of the row, head indexes of its tokens (-1 for words that aren't in the head), and those words.
+
+    The row's number holds once the result is stored.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(lex)
 
+    def lists(sizes, values):
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values)
+
     def run(batches):
         for b in batches:
-            for lo, hi in batches_of([len(t) for t in b["text"]], 1_000_000):
-                some = b.iloc[lo:hi]
-                ids, sizes, rare = encode(shared.value, some["text"].tolist())
-                yield some[["doc_id", "held_out", "h"]].assign(ids=np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1]), rare=rare)
+            texts = b.column("text").to_pylist()
+            for lo, hi in batches_of([len(t) for t in texts], 1_000_000):
+                ids, sizes, rare = encode(shared.value, texts[lo:hi])
+                words = lists([len(x) for x in rare], pa.array(chain.from_iterable(rare), pa.binary()))
+                same = [b.column(x).slice(lo, hi - lo) for x in ("doc_id", "held_out", "h")]
+                yield pa.RecordBatch.from_arrays([*same, lists(sizes, pa.array(ids)), words], ["doc_id", "held_out", "h", "ids", "rare"])
 
-    base = docs.select("doc_id", held_out().alias("held_out"), F.xxhash64("text").alias("h"), text_of().alias("text"))
-    return base.mapInPandas(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.monotonically_increasing_id().alias("h"), utf8())
+    return base.mapInArrow(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
 
 
 def chosen(d: np.ndarray, sizes: np.ndarray, i: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -479,11 +492,10 @@ def score(docs: DataFrame, least: int | None = None, head: int = HEAD) -> DataFr
 
     schema = "doc_id long, held_out boolean, h long, n_tokens long, n_known long, known double, own double, lm double, n_other long"
     rows = materialize(texts.select("doc_id", "held_out", "h", "ids").mapInPandas(run, schema), "scored")
-    # the counts of rare words, joined once for each document that has them
-    rare = texts.where(F.size("rare") > 0).dropDuplicates(["doc_id", "h"]).select("doc_id", "h", F.explode("rare").alias("token"))
-    per = rare.join(counts, "token").groupBy("doc_id", "h").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("seen"))
-    per = materialize(per, "rare").select(F.col("doc_id").alias("di"), F.col("h").alias("hi"), "more", "seen")
-    out = rows.join(per, F.col("doc_id").eqNullSafe(F.col("di")) & (F.col("h") == F.col("hi")), "left")
+    # the counts of rare words, joined to the rows that have them
+    rare = texts.where(F.size("rare") > 0).select("h", F.explode("rare").alias("token"))
+    per = rare.join(counts, "token").groupBy("h").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("seen"))
+    out = rows.join(materialize(per, "rare"), "h", "left")
     more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0))
     n_own, v_own = lex.other_mass()
     base_log = float(np.log10(lex.total + lex.distinct + 1))
