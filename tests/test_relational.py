@@ -233,3 +233,27 @@ def test_many_small_components_follow_the_targets(spark):
     calls = spark.range(30000).selectExpr("id as call", "array(id, id + 1000000) as speakers")
     n = {r.split: r["count"] for r in selection.split_by_component(calls, {"train": 0.6, "dev": 0.3, "test": 0.1}).groupBy("split").count().collect()}
     assert abs(n["train"] - 18000) < 400 and abs(n["dev"] - 9000) < 400 and abs(n["test"] - 3000) < 300
+
+
+def test_stale_files_are_told_by_the_selection(spark):
+    from twinline.operators import manifest
+
+    found = spark.createDataFrame([("train", 1, None), ("train", 1, 0), ("train", 1, 2), ("dev", 2, None), ("dev", 2, 0), ("chunks", 9, None)], "split string, call long, variant int")
+    selected = spark.createDataFrame([(1,), (1,), (3,)], "call long")
+    kept = spark.createDataFrame([(1, None), (1, 0)], "call long, variant int")
+    got = {(r.split, r.call, r.variant, r.what) for r in manifest.stale(found, selected, kept).collect()}
+    assert got == {("train", 1, 2, "variant"), ("dev", 2, None, "call"), ("dev", 2, 0, "call")}
+
+
+def test_guards_before_work(spark):
+    from twinline.operators import manifest
+
+    calls = spark.createDataFrame([(1, 10.0, [2.0, None], 2), (2, 8.0, [0.0, 0.0], 2), (3, None, None, 1)], "call long, duration double, speech array<double>, channels int")
+    assert manifest.work_estimate(calls, 4.0).first()[:] == (3, 10.0, 2.5)
+    assert manifest.work_estimate(calls, 4.0, full=True).first()[:] == (3, 36.0, 9.0)
+    assert manifest.work_estimate(calls.limit(0), 4.0).first()[:] == (0, 0.0, 0.0)
+    cached = spark.createDataFrame([(1, 24000), (2, 8000)], "call long, rate int")
+    faults = lambda *a, **k: {(r.fault, r.n, r.example) for r in manifest.rate_faults(calls, cached, *a, **k).collect()}
+    assert faults(24000, 8000, 24000) == {("not cached", 1, 3), ("other rate", 1, 2)}
+    assert faults(24000, 8000, None, summed=True) >= {("marked otherwise", 3, 1), ("sum of targets", 3, 1)}
+    assert faults(8000, 8000, None) == set()

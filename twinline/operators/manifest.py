@@ -53,3 +53,39 @@ def pending(items: DataFrame, done: DataFrame, key: str, limit: int | None = Non
     """Items without an output, in order of their key; no limit for None or 0."""
     out = items.join(done.select(key), key, "left_anti")
     return out.orderBy(key).limit(limit) if limit else out
+
+
+def stale(found: DataFrame, selected: DataFrame, kept: DataFrame, apart: Sequence[str] = ("chunks",)) -> DataFrame:
+    """(split, call, variant, what) of stored mixtures that no longer belong; a null variant is the clean one.
+
+    All of a call that the selection doesn't hold goes; of a selected call, the variants that aren't kept.
+    The selection must be the whole one, not the calls of a limited run. Splits set apart aren't looked at.
+    """
+    have = found.where(~F.col("split").isin(*apart)) if apart else found
+    gone = have.join(selected.select("call").distinct(), "call", "left_anti").withColumn("what", F.lit("call"))
+    rest = have.where("variant is not null").join(selected.select("call").distinct(), "call", "left_semi")
+    old = rest.join(kept.where("variant is not null").select("call", "variant").distinct(), ["call", "variant"], "left_anti")
+    return gone.unionByName(old.withColumn("what", F.lit("variant"))).select("split", "call", "variant", "what")
+
+
+def work_estimate(calls: DataFrame, realtime: float, full: bool = False) -> DataFrame:
+    """(calls, seconds, wall): audio to enhance and the time it takes; speech of both sides, the duration where there is none, or all channels."""
+    speech = F.aggregate(F.coalesce("speech", F.array()), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    duration = F.coalesce("duration", F.lit(0.0))
+    each = duration * F.col("channels") if full else F.when(speech > 0, speech).otherwise(duration)
+    seconds = F.coalesce(F.sum(each), F.lit(0.0))
+    return calls.agg(F.count("*").alias("calls"), seconds.alias("seconds"), F.round(seconds / realtime, 4).alias("wall"))
+
+
+def rate_faults(calls: DataFrame, cached: DataFrame, wanted: int, source: int, marked: int | None, summed: bool = False) -> DataFrame:
+    """(fault, n, example): why targets would end up at mixed rates, before any work; empty if they can't.
+
+    ``cached`` has (call, rate) as found in the headers, ``marked`` is the rate the cache claims, ``summed`` that
+    mixtures are sums of their targets. Targets at the source's own rate need no check here.
+    """
+    out = calls.select("call").join(cached.select("call", "rate"), "call", "left")
+    if wanted == source:
+        return out.where(F.lit(False)).select(F.lit("").alias("fault"), F.lit(0).cast("long").alias("n"), F.col("call").alias("example"))
+    tests = {"not cached": F.col("rate").isNull(), "other rate": F.col("rate") != wanted, "marked otherwise": F.lit(marked != wanted), "sum of targets": F.lit(summed)}
+    found = F.explode(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests.items()])))
+    return out.select("call", found.alias("fault")).groupBy("fault").agg(F.count("*").alias("n"), F.min("call").alias("example"))

@@ -426,3 +426,45 @@ def build_call(spark, sf):
         return [(call, r["natural_overlap"], r["overlap"], r["shift_reason"], r["sir_db"], r["background_snr_db"], ",".join(degrade.check_call(r, _SR, b)))]
 
     return _per_call(spark, sf, row, "call long, natural_overlap double, overlap double, shift_reason string, sir_db double, background_snr_db double, problems string")
+
+
+@query(
+    "stale_outputs",
+    f"""with {MANIFEST}, sel as (select distinct doc_id as call from labels)
+select split, call, variant, case when call in (select call from sel) then 'variant' else 'call' end as what
+from man where split <> 'test' and (call not in (select call from sel) or variant >= 1)""",
+)
+def stale_outputs(spark, sf):
+    """Files of two variants after a build of one, over a smaller selection; the split 'test' is set apart."""
+    rows = t.manifest(spark, sf).select("split", "call", "variant")
+    selected = t.table(spark, sf, "labels").select(F.col("doc_id").alias("call"))
+    return manifest.stale(rows, selected, rows.where("variant = 0"), apart=("test",))
+
+
+def _work(spark, sf):
+    d = t.table(spark, sf, "documents")
+    side = lambda k: F.when(F.col("doc_id") % 3 == 0, 0.0).otherwise(F.col("n_chars") / k)
+    return d.select((F.col("n_chars") / 16).alias("duration"), F.array(side(32), side(64)).alias("speech"), F.lit(2).alias("channels"))
+
+
+@query(
+    "work_estimate",
+    """with c as (select case when doc_id % 3 = 0 then n_chars / 16.0::double else n_chars / 32.0::double + n_chars / 64.0::double end as s from documents)
+select count(*) as calls, coalesce(sum(s), 0) as seconds, round(coalesce(sum(s), 0) / 40, 4) as wall from c""",
+)
+def work_estimate(spark, sf):
+    return manifest.work_estimate(_work(spark, sf), 40.0)
+
+
+@query(
+    "rate_guard",
+    """with x as (select d.doc_id as call, case when l.doc_id is null then null when l.doc_id % 50 = 7 then 8000 else 24000 end as rate from documents d left join labels l using (doc_id)),
+f as (select call, 'not cached' as fault from x where rate is null union all select call, 'other rate' from x where rate <> 24000 union all select call, 'marked otherwise' from x)
+select fault, count(*) as n, min(call) as example from f group by fault""",
+)
+def rate_guard(spark, sf):
+    """A cache that is marked 8 kHz and half migrated, against targets of 24 kHz."""
+    calls = t.table(spark, sf, "documents").select(F.col("doc_id").alias("call"))
+    rate = F.when(F.col("doc_id") % 50 == 7, 8000).otherwise(24000)
+    cached = t.table(spark, sf, "labels").select(F.col("doc_id").alias("call"), rate.alias("rate"))
+    return manifest.rate_faults(calls, cached, 24000, 8000, 8000)
