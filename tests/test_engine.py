@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 from twinline import streaming
-from twinline.functions import models
+from twinline.functions import degrade, models
 from twinline.functions import signal as sig
 from twinline.operators import intervals
 from twinline.plans import config, stages
@@ -36,7 +36,7 @@ def built(spark, tmp_path_factory):
         (root / f"audio/call0{i + 1}.wav").write_bytes(audio.encode_wav(recording(i, pairs[i // 2]), SR))
     (root / "audio/silent.wav").write_bytes(audio.encode_wav(recording(90, ["A", None]), SR))
     (root / "audio/broken.wav").write_bytes(b"RIFF____WAVE")
-    cfg = config.load(None, ["select.splits={train: 0.5, dev: 0.25, test: 0.25}", "build.variants=1", "cluster.threshold=0.9", "select.balance_gender=false"], root)
+    cfg = config.load(None, ["select.splits={train: 0.5, dev: 0.25, test: 0.25}", "build.variants=1", "cluster.threshold=0.9", "select.balance_gender=false", "augment.simulated_rooms=12"], root)
     return stages.run(spark, cfg)
 
 
@@ -66,6 +66,49 @@ def test_every_stage_gives_the_planted_answer(built):
     assert sum(v[0] for v in stats.values()) == 16 and sum(v[1] for v in stats.values()) == 8
 
 
+def test_restored_targets_banks_and_their_checks(built, spark):
+    root = built.cfg.paths.root
+    for folder in ("noise", "irs"):
+        (root / folder).mkdir()
+    rng = np.random.default_rng(3)
+    for i in range(3):
+        (root / f"noise/clip{i}.wav").write_bytes(audio.encode_wav(rng.normal(0, 0.004, 2 * SR), SR))
+        (root / f"irs/hall{i}.wav").write_bytes(audio.encode_wav(rng.normal(0, 0.2, 600) * 0.99 ** np.arange(600), SR))
+    (root / "noise/voice.wav").write_bytes(audio.encode_wav(recording(1, "AB")[:, 0], SR))
+    (root / "noise/broken.wav").write_bytes(b"RIFF")
+    more = ["build.use_enhanced=always", "build.variants=2", "augment.simulated_rooms=20", f"augment.ir_dir={root / 'irs'}", f"augment.noise_dir={root / 'noise'}"]
+    cfg = config.load(None, ["select.splits={train: 0.5, dev: 0.25, test: 0.25}", "cluster.threshold=0.9", "select.balance_gender=false", *more], root)
+    old = {r.name: list(r.pcm) for r in built.read("bank").collect()}
+    s = stages.run(spark, cfg, ["enhance"], limit=3)
+    first = s.read("enhanced")
+    assert first.select("call").distinct().count() == 3 and {r.rate for r in first.collect()} == {24000}
+    with pytest.raises(SystemExit, match="not cached"):
+        stages.run(spark, cfg, ["build"], overwrite=True)
+    stages.run(spark, cfg, ["enhance"])
+    assert s.read("enhanced").groupBy("call", "channel").count().where("count = 1").count() == 16
+    with pytest.raises(SystemExit, match="merge_gap"):
+        stages.run(spark, config.load(None, [*more, "enhance.merge_gap=0.25"], root), ["enhance"])
+    stages.augment(s)
+    bank = {(r.kind, r.name): list(r.pcm) for r in s.read("bank").collect()}
+    kinds = [k for k, _ in bank]
+    assert (kinds.count("simulated"), kinds.count("measured")) == (20, 3) and {n for k, n in bank if k == "noise"} == {"clip0", "clip1", "clip2"}
+    assert all(bank["simulated", n] == pcm for n, pcm in old.items())  # a bank that grows keeps what it had
+    assert {r.kind: r.n for r in s.read("bank_index").collect()}["codec opus"] == 0
+    stages.run(spark, cfg, ["build", "verify"], overwrite=True)
+    rows = s.read("built").collect()
+    assert len(rows) == 8 and all(r.k == 3 and len(r.s1) == 3 * len(r.mix) and len(r.variants) == 2 for r in rows)
+    recipes = "".join(v.recipes for r in rows for v in r.variants)
+    assert '"noise": {' in recipes and '"reverb": {' in recipes
+    assert [r.check for r in s.read("problems").collect()] in ([], ["gender"])
+    r = rows[0].asDict(recursive=True)
+    other = rows[2].asDict(recursive=True)
+    wrong = {**r, "enhanced": True, "variants": [], **{n: np.asarray(r[n], np.float32) for n in ("mix", "s1")}, "s2": np.asarray(other["s2"], np.float32)}
+    assert "s2_not_aligned" in degrade.check_call(wrong, SR, degrade.Build(), 3)
+    probed = audio.read(spark, str(root / "audio"), samples=False).collect()
+    assert {(p.call, p.channel, p.sr, p.n_samples) for p in probed if p.error is None} == {(f, c, SR, 30 * SR) for f in (*[f"call0{i}" for i in range(1, 9)], "silent") for c in (0, 1)}
+    assert [p.call for p in probed if p.error] == ["broken"]
+
+
 def test_stages_skip_and_refuse(built, spark):
     before = built.read("selection").inputFiles()
     stages.run(spark, built.cfg, ["select"])

@@ -69,6 +69,26 @@ def levels(recorded: DataFrame, measured: DataFrame, key: str) -> DataFrame:
     return violations(both.where(off), "rms", key, F.when(F.col("got").isNull(), "missing").otherwise("level"))
 
 
+def formats(rows: DataFrame, sr: int) -> DataFrame:
+    """Rates and lengths of stored trios (call, sr, n, target_sr, n1, n2): the expected rate, a whole ratio, as many samples as the ratio says."""
+    ratio = F.col("target_sr") / F.col("sr")
+    longer = (F.col("n1") != F.col("n") * ratio) | (F.col("n2") != F.col("n") * ratio)
+    unknown = F.greatest(*[F.col(c).isNull().cast("int") for c in ("sr", "n", "target_sr", "n1", "n2")]) > 0
+    what = F.when(unknown, "unreadable").when(F.col("sr") != sr, "rate").when(F.col("target_sr") % F.col("sr") != 0, "ratio").when(longer, "duration")
+    return violations(rows.withColumn("what", what).where("what is not null"), "format", "call", F.col("what"))
+
+
+def floors(rows: DataFrame, check: str, key: str, value: str, least: float) -> DataFrame:
+    """Measures below a floor, such as a background's distance or an alignment; those that couldn't be taken are left out."""
+    return violations(rows.where(F.col(value) < least), check, key, F.format_string("%.2f", F.col(value)))
+
+
+def drifts(recorded: DataFrame, measured: DataFrame, check: str, keys: list[str], value: str, tolerance: float) -> DataFrame:
+    """Measures away from the recorded by more than the tolerance; those recorded only are for other checks."""
+    both = recorded.select(*keys, F.col(value).alias("want")).join(measured.select(*keys, F.col(value).alias("got")), keys)
+    return violations(both.where(F.abs(F.col("got") - F.col("want")) > tolerance), check, F.concat_ws(":", *keys), F.lit("other than recorded"))
+
+
 def gender_share(rows: DataFrame, tolerance: float = 0.10) -> DataFrame:
     """One row if the share of male sides over calls is off a half by more than the tolerance."""
     s = fold_calls(rows).select(F.explode("genders").alias("g")).where("g in ('male', 'female')").agg(F.avg((F.col("g") == "male").cast("double")).alias("p"))

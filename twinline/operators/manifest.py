@@ -89,3 +89,17 @@ def rate_faults(calls: DataFrame, cached: DataFrame, wanted: int, source: int, m
     tests = {"not cached": F.col("rate").isNull(), "other rate": F.col("rate") != wanted, "marked otherwise": F.lit(marked != wanted), "sum of targets": F.lit(summed)}
     found = F.explode(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests.items()])))
     return out.select("call", found.alias("fault")).groupBy("fault").agg(F.count("*").alias("n"), F.min("call").alias("example"))
+
+
+def resolve_targets(calls: DataFrame, cached: DataFrame, policy: str) -> DataFrame:
+    """``calls`` with ``enhanced``, whether a call's targets come from the cache of enhanced copies.
+
+    'never' takes none, 'auto' those that are there; for 'always' a call without one raises when its row is read.
+    """
+    if policy not in ("never", "auto", "always"):
+        raise ValueError(f"targets are taken never, auto or always, not {policy}")
+    if policy == "never":
+        return calls.withColumn("enhanced", F.lit(False))
+    have = cached.select("call").distinct().withColumn("enhanced", F.lit(True))
+    missing = F.raise_error(F.concat(F.lit("no enhanced copy of "), F.col("call").cast("string"))).cast("boolean") if policy == "always" else F.lit(False)
+    return calls.join(have, "call", "left").withColumn("enhanced", F.coalesce("enhanced", missing))

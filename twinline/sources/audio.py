@@ -63,6 +63,8 @@ def read(spark: SparkSession, path: str, pattern: str = "*.wav", samples: bool =
     """A row per channel: call, path, channel, sr, n_samples, pcm (none without ``samples``); unreadable files have an error instead."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     schema = "path string, channel int, sr int, n_samples long, pcm array<float>, error string"
+    if not samples:
+        return _probe(files, schema)
 
     def run(batches):
         for b in batches:
@@ -70,7 +72,7 @@ def read(spark: SparkSession, path: str, pattern: str = "*.wav", samples: bool =
             for p, c in zip(b["path"], b["content"], strict=True):
                 try:
                     x, sr = decode_wav(c)
-                    out += [(p, i, sr, len(x), x[:, i] if samples else None, None) for i in range(x.shape[1])]
+                    out += [(p, i, sr, len(x), x[:, i], None) for i in range(x.shape[1])]
                 except (ValueError, struct.error) as e:
                     out.append((p, None, None, None, None, repr(e)))
             yield pd.DataFrame(out, columns=["path", "channel", "sr", "n_samples", "pcm", "error"])
@@ -78,6 +80,24 @@ def read(spark: SparkSession, path: str, pattern: str = "*.wav", samples: bool =
     return files.select("path", "content").mapInPandas(run, schema).withColumn("call", stem(F.col("path")))
 
 
+def _probe(files: DataFrame, schema: str, head: int = 4096) -> DataFrame:
+    """The rows of ``read`` from the first bytes of every file; nothing else is sent to Python, nothing decoded."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for p, n, c in zip(b["path"], b["length"], b["head"], strict=True):
+                try:
+                    _, channels, sr, bits, at, size = probe_wav(c)
+                    out += [(p, i, sr, min(size, n - at) // (bits // 8 * channels), None, None) for i in range(channels)]
+                except (ValueError, struct.error, ZeroDivisionError) as e:
+                    out.append((p, None, None, None, None, repr(e)))
+            yield pd.DataFrame(out, columns=["path", "channel", "sr", "n_samples", "pcm", "error"])
+
+    heads = files.select("path", "length", F.substring("content", 1, head).alias("head"))
+    return heads.mapInPandas(run, schema).withColumn("call", stem(F.col("path")))
+
+
 def to_wav(df: DataFrame) -> DataFrame:
     """(call, wav): encoded files of rows (call, sr, pcm), as a column that any sink can take."""
 
