@@ -257,3 +257,19 @@ def test_guards_before_work(spark):
     assert faults(24000, 8000, 24000) == {("not cached", 1, 3), ("other rate", 1, 2)}
     assert faults(24000, 8000, None, summed=True) >= {("marked otherwise", 3, 1), ("sum of targets", 3, 1)}
     assert faults(8000, 8000, None) == set()
+
+
+def test_clusters_from_pairs_equal_those_from_a_matrix():
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        n = int(rng.integers(0, 40))
+        x = rng.normal(size=(n, 3))
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        groups = rng.integers(0, max(1, n // 2), n)
+        sim = np.round((x @ x.T + 1) / 2, 1 if trial % 2 else 12)  # every other time full of ties
+        i, j = np.nonzero(np.triu(sim > 0.65, 1) & (groups[:, None] != groups[None, :]))
+        got = clustering.agglomerate_pairs(n, iter([(i, j, sim[i, j])]))
+        assert got.tolist() == clustering.agglomerate(sim, groups, 0.65).tolist()
+        found = sorted((a, b) for p in clustering.close_pairs(x, groups, 0.65, 7) for a, b in zip(p[0].tolist(), p[1].tolist(), strict=True))
+        exact = (x @ x.T + 1) / 2
+        assert found == sorted((a, b) for a in range(n) for b in range(a + 1, n) if exact[a, b] > 0.65 and groups[a] != groups[b])

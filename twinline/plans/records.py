@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import degrade
 from ..functions import signal as sig
-from ..operators import audit, manifest
+from ..operators import audit, banks, manifest, windows
+from ..sources import audio as audio_source
 from ..sources import rttm
 from . import standins as t
 from .relational import QUERIES as _ALL
 from .relational import SQL as _ALL_SQL
 from .relational import query
-from .standins import MANIFEST, SEG, SIDES
+from .standins import MANIFEST, SEG, SIDES, islands
 
 QUERIES, SQL = _ALL, _ALL_SQL
 
@@ -287,8 +288,8 @@ def allowlist_reroot(spark, sf):
 def noise_screen(spark, sf):
     """A seeded sample of clips, of which those with little speech are kept."""
     p = t.table(spark, sf, "part").select(F.col("p_partkey").alias("clip"), (F.col("p_size") / 10.0).alias("seconds"), (F.col("p_retailprice") % 100 / 100.0).alias("speech"))
-    some = p.where("seconds >= 0.5").orderBy(F.md5(F.concat(F.lit("77:"), F.col("clip").cast("string"))), "clip").limit(6000)
-    return some.where("speech / seconds <= 0.05").select("clip", F.round("seconds", 3).alias("seconds"), F.round("speech", 6).alias("speech"))
+    some = banks.seeded_sample(p.where("seconds >= 0.5"), "clip", 77, 6000)
+    return banks.quiet(some, 0.05).select("clip", F.round("seconds", 3).alias("seconds"), F.round("speech", 6).alias("speech"))
 
 
 # --- signals: the two vectors of a call as two short tracks
@@ -468,3 +469,253 @@ def rate_guard(spark, sf):
     rate = F.when(F.col("doc_id") % 50 == 7, 8000).otherwise(24000)
     cached = t.table(spark, sf, "labels").select(F.col("doc_id").alias("call"), rate.alias("rate"))
     return manifest.rate_faults(calls, cached, 24000, 8000, 8000)
+
+
+@query(
+    "target_resolution",
+    "select doc_id as call, doc_id in (select doc_id from labels) as enhanced from documents",
+)
+def target_resolution(spark, sf):
+    """Which calls take their targets from the cache, where both kinds are allowed."""
+    calls = t.table(spark, sf, "documents").select(F.col("doc_id").alias("call"))
+    return manifest.resolve_targets(calls, t.table(spark, sf, "labels").select(F.col("doc_id").alias("call")), "auto")
+
+
+@query(
+    "format_audit",
+    """with x as (select doc_id as call, case when doc_id % 31 = 0 then 16000 else 8000 end as sr, case when doc_id % 37 = 0 then 22050 else 24000 end as tsr,
+  case when doc_id % 41 = 0 then null else n_chars end as n, n_chars * 3 + case when doc_id % 43 = 0 then 1 else 0 end as n1, n_chars * 3 as n2 from documents)
+select 'format' as check, call::varchar as key, w as message from (select call, case when n is null then 'unreadable' when sr <> 8000 then 'rate' when tsr % sr <> 0 then 'ratio' when n1 <> 3 * n or n2 <> 3 * n then 'duration' end as w from x) where w is not null""",
+)
+def format_audit(spark, sf):
+    odd = lambda m, a, b: F.when(F.col("doc_id") % m == 0, a).otherwise(b)
+    rows = t.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("call"), odd(31, 16000, 8000).alias("sr"), odd(37, 22050, 24000).alias("target_sr"), odd(41, None, F.col("n_chars")).alias("n"),
+        (F.col("n_chars") * 3 + odd(43, 1, 0)).alias("n1"), (F.col("n_chars") * 3).alias("n2"),
+    )
+    return audit.formats(rows, 8000)
+
+
+@query(
+    "floor_audit",
+    f"""with {_TWO}, c as (select call, list_inner_product(x, y) / sqrt({_SS.format('x')} * {_SS.format('y')}) as aligned, 20 * log10(sqrt({_SS.format('x')} / ({_SS.format('y')}))) as snr from tw)
+select 'alignment' as check, call::varchar as key, printf('%.2f', aligned) as message from c where aligned < 0.65
+union all select 'background', call::varchar, printf('%.2f', snr) from c where snr < 0""",
+)
+def floor_audit(spark, sf):
+    """Calls whose two tracks don't agree, and those whose background is above the voices."""
+    snr = 20 * F.log10(F.sqrt(_energy("x") / _energy("y")))
+    m = _tracks(spark, sf).select("call", (_dot("x", "y") / F.sqrt(_energy("x") * _energy("y"))).alias("aligned"), snr.alias("snr"))
+    return audit.floors(m, "alignment", "call", "aligned", 0.65).unionByName(audit.floors(m, "background", "call", "snr", 0.0))
+
+
+@query(
+    "drift_audit",
+    f"with {MANIFEST} select 'correlation' as check, call || ':' || variant as key, 'other than recorded' as message from man where variant is not null and call % 17 = 0 and call % 3 <> 0",
+)
+def drift_audit(spark, sf):
+    """Variants whose likeness to their call isn't the recorded one; some are recorded only."""
+    rows = t.manifest(spark, sf).where("variant is not null").select("call", "variant", (F.col("duration") % 1.0).alias("correlation"))
+    measured = rows.where("call % 3 <> 0").withColumn("correlation", F.col("correlation") + F.when(F.col("call") % 17 == 0, 0.03).otherwise(0.01))
+    return audit.drifts(rows, measured, "correlation", ["call", "variant"], "correlation", 0.02)
+
+
+@query(
+    "room_fill",
+    "select i as index, printf('rir%05d', i) as name from (select unnest(range(0, (select count(*) from part))) as i) where i % 3 <> 0 or i = 0",
+)
+def room_fill(spark, sf):
+    """The rooms that an interrupted run left out, every third being there but for the first, as many as there are parts."""
+    n = t.table(spark, sf, "part").count()
+    have = spark.range(1, n).where("id % 3 = 0").select(F.format_string("rir%05d", "id").alias("name"))
+    return banks.missing_rooms(spark, n, have)
+
+
+@query(
+    "needed_recordings",
+    """select d.doc_id as call, d.source || ':' || (d.n_chars % 5) as name, len(b.pcm) as n from documents d
+join (select unnest(generate_series(0, 2)) as k, [1.0, 2.0, 3.0] as pcm) b on d.n_chars % 5 = b.k""",
+)
+def needed_recordings(spark, sf):
+    """Calls with the recordings that they drew; two of five names have none."""
+    d = t.table(spark, sf, "documents").select(F.col("doc_id").alias("call"), F.lit("noise").alias("kind"), F.concat_ws(":", "source", F.col("n_chars") % 5).alias("name"))
+    pcm = F.array(*[F.lit(x).cast("float") for x in (1, 2, 3)])
+    bank = d.where("substring_index(name, ':', -1) < 3").select("kind", "name").distinct().withColumn("pcm", pcm)
+    got = banks.attach(d.select("call"), d, bank)
+    return got.select("call", F.explode("recordings").alias("r")).select("call", "r.name", F.size("r.pcm").cast("long").alias("n"))
+
+
+@query(
+    "speaker_numbers",
+    f"with {SIDES}, n as (select speaker, count(*) as sides from sides group by speaker) select speaker, sides, row_number() over (order by sides desc, speaker) as number from n",
+)
+def speaker_numbers(spark, sf):
+    """Dense numbers of the voices, the most frequent first."""
+    n = t.call_sides(spark, sf).groupBy("speaker").agg(F.count("*").alias("sides"))
+    return windows.numbered(n, [F.desc("sides"), F.col("speaker")], "number").select("speaker", "sides", F.col("number").cast("long").alias("number"))
+
+
+@query(
+    "call_keys",
+    """select doc_id, 'call.' || source || '_' || doc_id as call from documents""",
+)
+def call_keys(spark, sf):
+    """Keys of recordings: a file's name without folders and its last ending."""
+    path = F.concat(F.lit("file:/a.b/"), "lang", F.lit("/call."), "source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".wav"))
+    return t.table(spark, sf, "documents").select("doc_id", rttm.stem(path).alias("call"))
+
+
+# --- the numpy kernels that the build runs, against SQL of their definitions
+
+
+def _kernel(rows, f, schema: str):
+    """``f`` of the two tracks of every call."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        for b in batches:
+            out = [(call, *f(int(call), np.asarray(x, np.float32), np.asarray(y, np.float32))) for call, x, y in zip(b["call"], b["x"], b["y"], strict=True)]
+            yield pd.DataFrame(out, columns=["call", *names])
+
+    return rows.select("call", "x", "y").mapInPandas(run, f"call long, {schema}")
+
+
+@query("sir_gain_kernel", SQL["sir_gain"])
+def sir_gain_kernel(spark, sf):
+    every = lambda x: np.ones(len(x), bool)
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (sig.scale_to_sir(x, y, every(x), every(y), call % 11 - 5)[1],), "gain double")
+    return got.select("call", F.round("gain", 6).alias("gain"))
+
+
+@query("peak_guard_kernel", SQL["peak_guard"])
+def peak_guard_kernel(spark, sf):
+    def guard(call, x, y):
+        mix = x.astype(float) + y
+        (_, _, out), gain = sig.guard_peaks([x.astype(float), y.astype(float), mix], 0.3)
+        return max(float(np.abs(v).max()) for v in (x, y, mix)), gain, float(np.abs(out).max())
+
+    got = _kernel(_tracks(spark, sf), guard, "peak double, gain double, mix_peak double")
+    return got.select("call", *[F.round(c, 6).alias(c) for c in ("peak", "gain", "mix_peak")])
+
+
+@query("background_snr_kernel", SQL["background_snr"])
+def background_snr_kernel(spark, sf):
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (sig.background(x + 0.1 * y.astype(float), x, 0 * x, np.ones(len(x), bool))[1],), "snr_db double")
+    return got.select("call", F.round("snr_db", 5).alias("snr_db"))
+
+
+@query("signal_cosine_kernel", SQL["signal_cosine"])
+def signal_cosine_kernel(spark, sf):
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (sig.correlation(x, y),), "cosine double")
+    return got.select("call", F.round("cosine", 6).alias("cosine"))
+
+
+@query(
+    "percentile_clip_kernel",
+    f"""with {_TWO}, l as (select call, unnest(x) as v from tw), q as (select call, quantile_cont(v, 0.05) as lo, quantile_cont(v, 0.95) as hi from l group by call)
+select call, round(sum(least(greatest(v, lo), hi)), 4) as total from l join q using (call) group by call""",
+)
+def percentile_clip_kernel(spark, sf):
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (float(sig.clip_percentiles(x, 5, 95).sum(dtype=np.float64)),), "total double")
+    return got.select("call", F.round("total", 4).alias("total"))
+
+
+@query(
+    "wav_round_trip",
+    f"""with {_TWO}, q as (select call, list_transform(x, lambda v: least(greatest(round_even(v * 32768, 0), -32768), 32767)) as x, list_transform(y, lambda v: least(greatest(round_even(v * 32768, 0), -32768), 32767)) as y from tw)
+select call, c.channel, 8000::bigint as sr, len(x)::bigint as n_samples, (case when c.channel = 0 then list_sum(x) else list_sum(y) end)::bigint as total,
+  (list_sum(list_transform(case when c.channel = 0 then x else y end, lambda v: v * v)))::bigint as energy from q, (values (0::bigint), (1::bigint)) c(channel)""",
+)
+def wav_round_trip(spark, sf):
+    """Two tracks as a stereo file of 16 bits, its header read by itself, its samples decoded and split by channel."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for call, x, y in zip(b["call"], b["x"], b["y"], strict=True):
+                wav = audio_source.encode_wav(np.stack([np.asarray(x), np.asarray(y)], 1), 8000)
+                _, channels, sr, bits, at, size = audio_source.probe_wav(wav[:64])
+                data, _ = audio_source.decode_wav(wav)
+                for c in range(channels):
+                    v = np.rint(data[:, c].astype(np.float64) * 32768).astype(np.int64)
+                    out.append((call, c, sr, size // (bits // 8 * channels), v.sum(), (v * v).sum()))
+            yield pd.DataFrame(out, columns=["call", "channel", "sr", "n_samples", "total", "energy"])
+
+    return _tracks(spark, sf).mapInPandas(run, "call long, channel long, sr long, n_samples long, total long, energy long")
+
+
+_EDGE = "0.5 - 0.5 * cos(pi() * least({0}, 5) / 5.0)"
+
+
+@query(
+    "fade_apply",
+    f"""with {_TWO}, i as (select call, x, len(x) as n, unnest(generate_series(0, len(x) - 1)) as i from tw), g as (
+  select call, x[i + 1] as v, case when i >= n // 4 and i < n - n // 4 then {_EDGE.format('least(i - n // 4 + 1, n - n // 4 - i)')} else 0 end as g from i
+) select call, round(sum(v * g), 4) as total, round(sum(g), 4) as gain from g group by call""",
+)
+def fade_apply(spark, sf):
+    """A track inside a mask with raised-cosine edges of four samples."""
+
+    def fade(call, x, y):
+        n = len(x)
+        mask = (np.arange(n) >= n // 4) & (np.arange(n) < n - n // 4)
+        return float(sig.apply_mask(x, mask, 400).sum(dtype=np.float64)), float(sig.fade_envelope(mask, 400, 10.0).sum(dtype=np.float64))
+
+    got = _kernel(_tracks(spark, sf), fade, "total double, gain double")
+    return got.select("call", F.round("total", 4).alias("total"), F.round("gain", 4).alias("gain"))
+
+
+@query(
+    "roll_taper",
+    f"""with {_TWO}, i as (select call, x, len(x) as n, unnest(generate_series(0, len(x) - 1)) as i, 8 + call % (len(x) - 16) as sh from tw), g as (
+  select call, x[(i - sh + n) % n + 1] as v, case when i >= sh + 4 then {_EDGE.format('i - sh - 3')} when i < sh - 4 then {_EDGE.format('sh - 4 - i')} else 0 end as g from i
+) select call, round(sum(v * g), 4) as total from g group by call""",
+)
+def roll_taper(spark, sf):
+    """A rolled track with the join that rolling makes faded out."""
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (float(sig.roll_tapered(x, 8 + call % (len(x) - 16), 400, 10.0).sum(dtype=np.float64)),), "total double")
+    return got.select("call", F.round("total", 4).alias("total"))
+
+
+@query(
+    "companding",
+    f"""with {_TWO}, l as (select call, unnest(x) as v from tw), m as (
+  select call, v, sign(v) * round_even(ln(1 + 255 * abs(v)) / ln(256) * 127, 0) / 127 as q,
+    sign(v) * round_even(case when abs(v) < 1 / 87.6::double then 87.6::double * abs(v) else 1 + ln(87.6::double * abs(v)) end / (1 + ln(87.6::double)) * 127, 0) / 127 as p from l
+) select call, round(sum(sign(q) * (exp(abs(q) * ln(256)) - 1) / 255), 4) as mu,
+  round(sum(sign(p) * case when abs(p) < 1 / (1 + ln(87.6::double)) then abs(p) * (1 + ln(87.6::double)) / 87.6::double else exp(abs(p) * (1 + ln(87.6::double)) - 1) / 87.6::double end), 4) as a
+from m group by call""",
+)
+def companding(spark, sf):
+    """Eight-bit telephone codecs there and back."""
+    wide = lambda f: lambda x: float(f(x.astype(np.float64)).sum(dtype=np.float64))
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (wide(sig.mu_law)(x), wide(sig.a_law)(x)), "mu double, a double")
+    return got.select("call", F.round("mu", 4).alias("mu"), F.round("a", 4).alias("a"))
+
+
+@query(
+    "folded_activity",
+    f"""with {_TWO}, i as (select call, x, unnest(generate_series(0, len(x) // 4 - 1)) as k from tw)
+select call, count(*) filter (list_max(list_transform(x[k * 4 + 1:k * 4 + 4], lambda v: (v > 0.1)::int)) = 1) as active from i group by call""",
+)
+def folded_activity(spark, sf):
+    """Samples of a mixture at which any of four target samples is not zero."""
+    got = _kernel(_tracks(spark, sf), lambda call, x, y: (int(sig.active(np.where(x > 0.1, x, 0)[: len(x) // 4 * 4], 4).sum()),), "active long")
+    return got
+
+
+@query(
+    "mask_samples",
+    f"""with {SEG}, z as (select call, s % 60000 as s, least(s % 60000 + (e - s) % 2000, 60000) as e from seg), {islands('m', 'z', 'call')}
+select call, sum(e - s)::bigint as active from m group by call""",
+)
+def mask_samples(spark, sf):
+    """Active samples of a minute's mask at 1 000 Hz, from intervals that overlap and run past its end."""
+    z = t.segments(spark, sf).select("call", (F.col("start") % 60000).alias("s"), F.expr("start % 60000 + (end - start) % 2000").alias("e"))
+    spans = z.groupBy("call").agg(F.collect_list(F.struct(F.col("s") / 1000.0, F.col("e") / 1000.0)).alias("spans"))
+
+    @F.pandas_udf("long")
+    def active(spans: pd.Series) -> pd.Series:
+        return pd.Series([int(sig.speech_mask([tuple(p.values()) for p in ps], 60000, 1000).sum()) for ps in spans])
+
+    return spans.select("call", active("spans").alias("active"))
