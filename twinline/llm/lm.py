@@ -173,31 +173,45 @@ class Model:
         return out
 
 
-def climb(x: np.ndarray, speed: np.ndarray, rows: np.ndarray, values: np.ndarray, rate: float) -> None:
-    """Adagrad's step on the rows that occur, the values of a repeated one summed."""
-    order = np.argsort(rows.astype(np.uint16) if len(x) <= 1 << 16 else rows, kind="stable")  # short numbers sort by digits
+def climb(table: np.ndarray, had: np.ndarray, rows: np.ndarray, values: np.ndarray, rate: float) -> None:
+    """Adagrad's step on the rows of ``table`` that occur, the values of a repeated one summed.
+
+    A row holds numbers and, as many again, their sums of squares; ``had`` are the rows as read
+    for this minibatch, so that the table, which no cache holds, is read once and written once.
+    """
+    order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")  # short numbers sort by digits
     rows = rows[order]
     edge = np.ones(len(rows) + 1, bool)
     np.not_equal(rows[1:], rows[:-1], out=edge[1:-1])
     starts = edge.nonzero()[0]
     counts, starts = starts[1:] - starts[:-1], starts[:-1]
-    g, rows = values.take(order[starts], 0), rows[starts]
+    first, rows = order[starts], rows[starts]
+    g, new = values.take(first, 0), had.take(first, 0)
     many = (counts > 1).nonzero()[0]
     if len(many):  # most rows come once and need no sum
         again = order[~(edge[:-1] & edge[1:])]
         g[many] = np.add.reduceat(values.take(again, 0), np.cumsum(counts[many]) - counts[many], axis=0)
-    s = speed.take(rows, 0)
-    s += g * g
-    speed[rows] = s
-    np.divide(g, np.sqrt(s, out=s), out=s)
-    s *= rate
-    s += x.take(rows, 0)
-    x[rows] = s
+    n = g.shape[1]
+    new[:, n:] += g * g
+    g /= np.sqrt(new[:, n:])
+    g *= rate
+    new[:, :n] += g
+    table[rows] = new
 
 
 def distinct(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(w1, w2, w, at): the different examples of a vocabulary of n and where each of the given is among them."""
-    key, at = np.unique((w1.astype(np.int64) * n + w2) * n + w, return_inverse=True)
+    key = (w1.astype(np.int64) * n + w2) * n + w
+    bits = max(1, len(key) - 1).bit_length()
+    if n**3 << bits <= 1 << 63:  # the place in the low bits: sorting numbers is faster than sorting places by them
+        packed = np.sort(key << bits | np.arange(len(key)))
+        order, key = packed & ((1 << bits) - 1), packed >> bits
+        new = np.append(True, key[1:] != key[:-1])[: len(key)]
+        at = np.empty(len(key), np.int64)
+        at[order] = np.cumsum(new) - 1
+        key = key[new]
+    else:
+        key, at = np.unique(key, return_inverse=True)
     return key // (n * n), key // n % n, key % n, at
 
 
@@ -217,13 +231,15 @@ def weighted(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int, often: int =
 def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: float, seed: int, batch: int = BATCH, k: int = NOISE) -> Model:
     """One pass of minibatches (Adagrad) over weighted examples: noise contrast for words, softmax for classes.
 
-    Biases are the last column of their vectors here, and the two matrices are one above the other.
+    Biases are the last column of their vectors here, the two matrices are one above the other, and a word's sums of
+    squares stand beside its numbers.
     """
     rng = np.random.default_rng(seed)
     dim = model.r.shape[1]
-    r, c = model.r.copy(), model.c.reshape(2 * dim, dim).copy()
-    qb, ua = np.column_stack([model.q, model.b]), np.column_stack([model.u, model.a])
-    sr, sc, sq, su = [np.full(x.shape, 1e-6, np.float32) for x in (r, c, qb, ua)]
+    c, ua = model.c.reshape(2 * dim, dim).copy(), np.column_stack([model.u, model.a])
+    sc, su = [np.full(x.shape, 1e-6, np.float32) for x in (c, ua)]
+    beside = lambda x: np.concatenate([x, np.full(x.shape, 1e-6, np.float32)], 1)
+    r, qb = beside(model.r), beside(np.column_stack([model.q, model.b]))
     order = rng.permutation(len(w))
     before, w, weight = np.stack([w1[order], w2[order]], 1), w[order], weight[order]
     log_k = np.log(k * noise_p).astype(np.float32)
@@ -235,8 +251,9 @@ def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: floa
         noise = np.minimum(np.searchsorted(cum, rng.random(k)), len(cum) - 1)
         words = np.concatenate([y, noise])
         rows = before[at].ravel()
-        seen, qw, lw = r.take(rows, 0).reshape(len(y), 2 * dim), qb.take(words, 0), log_k[words]
-        qy, qn = qw[: len(y)], qw[len(y) :]
+        had, had_words, lw = r.take(rows, 0), qb.take(words, 0), log_k[words]
+        seen = had[:, :dim].reshape(len(y), 2 * dim)
+        qy, qn = had_words[: len(y), : dim + 1], had_words[len(y) :, : dim + 1]
         q = np.ones((len(y), dim + 1), np.float32)
         np.matmul(seen, c, out=q[:, :dim])
         true = np.einsum("ij,ij->i", q, qy) - lw[: len(y)]
@@ -257,13 +274,13 @@ def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: floa
         gq += up * qy
         gq = gq[:, :dim]
         gc, gu = seen.T @ gq, z @ q
-        climb(r, sr, rows, (gq @ c.T).reshape(len(rows), dim), rate)
-        climb(qb, sq, words, np.concatenate([up * q, down.T @ q]), rate)
+        climb(r, had, rows, (gq @ c.T).reshape(len(rows), dim), rate)
+        climb(qb, had_words, words, np.concatenate([up * q, down.T @ q]), rate)
         for x, g, s in ((c, gc, sc), (ua, gu, su)):
             s += g * g
             x += rate * g / np.sqrt(s)
     cut = lambda x: (np.ascontiguousarray(x[:, :dim]), x[:, dim].copy())
-    return Model(r, cut(qb)[0], c.reshape(2, dim, dim), cut(qb)[1], *cut(ua), model.starts)
+    return Model(r[:, :dim].copy(), cut(qb)[0], c.reshape(2, dim, dim), cut(qb)[1], *cut(ua), model.starts)
 
 
 @dataclass
