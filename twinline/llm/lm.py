@@ -38,11 +38,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,9 +63,18 @@ SHARE, BLOCK = 2_000_000, 65_536
 END = b""
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words of a text in UTF-8, in A-Z lower case, without the end."""
-    return text.lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all texts in UTF-8, in A-Z lower case, in a row; how many each text has), without the ends."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words = lists.flatten().view(pa.binary())
+    full = pc.greater(pc.binary_length(words), 0)  # there are empty ones beside the spaces around a text
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    return words.filter(full), np.diff(before[np.append(0, np.cumsum(lists.value_lengths().to_numpy()))])
+
+
+def pieces(texts: pa.Array, size: int = 4_000_000):
+    """(lo, hi) of the texts to split at a time, of ``size`` bytes or one text."""
+    return batches_of(pc.binary_length(texts).to_pylist(), size)
 
 
 def utf8() -> Column:
@@ -319,16 +329,19 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
 
     def run(batches):
         counts: Counter = Counter()
+        partial = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["token", "c"])
         for b in batches:
-            for t in b["text"]:
-                counts.update(tokens(t))
-                counts[END] += 1
+            texts = b.column("text")
+            for lo, hi in pieces(texts):
+                found = pc.value_counts(split_words(texts.slice(lo, hi - lo))[0])
+                counts.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True)))
+                counts[END] += hi - lo
                 if len(counts) >= flush:
-                    yield pd.DataFrame({"token": list(counts), "c": list(counts.values())})
+                    yield partial()
                     counts.clear()
-        yield pd.DataFrame({"token": list(counts), "c": list(counts.values())})
+        yield partial()
 
-    some = docs.where(~held_out()).select(utf8()).mapInPandas(run, "token binary, c long")
+    some = docs.where(~held_out()).select(utf8()).mapInArrow(run, "token binary, c long")
     return some.groupBy("token").agg(F.sum("c").alias("c"))
 
 
@@ -354,16 +367,18 @@ def lexicon(counts: DataFrame, least: int | None = None, head: int = HEAD) -> Le
     return Lexicon({w: i for i, w in enumerate(held)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
 
 
-def encode(lex: Lexicon, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """(head index or -1 of every token, tokens in each text, the words of each text that aren't in the head)."""
-    get, parts, sizes, rare = lex.index.get, [], [], []
-    for t in texts:
-        words = tokens(t)
-        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
-        parts += [ids, np.array([get(END, -1)], np.int32)]
-        sizes.append(len(words) + 1)
-        rare.append([words[i] for i in np.flatnonzero(ids < 0)])
-    return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array(sizes, np.int64), rare
+def encode(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(head index or -1 of every token, tokens in each text, the words that aren't in the head, how many each text has of these)."""
+    words, n = split_words(texts)
+    kinds = words.dictionary_encode()
+    known = np.fromiter(map(lex.index.get, kinds.dictionary.to_pylist(), repeat(-1)), np.int32, len(kinds.dictionary))
+    w = known[kinds.indices.to_numpy()]
+    ids = np.full(len(w) + len(n), lex.index.get(END, -1), np.int32)
+    word = np.ones(len(ids), bool)
+    word[np.cumsum(n + 1) - 1] = False
+    ids[word] = w
+    rare = np.append(0, np.cumsum(w < 0))
+    return ids, n + 1, words.filter(pa.array(w < 0)), np.diff(rare[np.append(0, np.cumsum(n))])
 
 
 def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -389,12 +404,11 @@ def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for lo, hi in batches_of([len(t) for t in texts], 1_000_000):
-                ids, sizes, rare = encode(shared.value, texts[lo:hi])
-                words = lists([len(x) for x in rare], pa.array(chain.from_iterable(rare), pa.binary()))
+            texts = b.column("text")
+            for lo, hi in pieces(texts):
+                ids, sizes, rare, some = encode(shared.value, texts.slice(lo, hi - lo))
                 same = [b.column(x).slice(lo, hi - lo) for x in ("doc_id", "held_out", "h")]
-                yield pa.RecordBatch.from_arrays([*same, lists(sizes, pa.array(ids)), words], ["doc_id", "held_out", "h", "ids", "rare"])
+                yield pa.RecordBatch.from_arrays([*same, lists(sizes, pa.array(ids)), lists(some, rare)], ["doc_id", "held_out", "h", "ids", "rare"])
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.monotonically_increasing_id().alias("h"), utf8())
     return base.mapInArrow(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
