@@ -165,20 +165,26 @@ class Model:
         every, out, groups = np.empty(len(q), np.float32), np.empty(len(w)), self.groups()
         for i, j in blocks(0, len(q), rows or max(16, CELLS // len(self.a))):
             every[i:j] = log_sum(self.u @ q[i:j].T + self.a[:, None])
-        order = np.argsort(w.astype(np.uint16) if len(self.b) <= 1 << 16 else w, kind="stable")
-        cuts = np.searchsorted(groups[w[order]], np.arange(len(self.a) + 1))
+        # by class, and within one by context: words of a class after the same context share its sum
+        order = np.argsort(groups[w].astype(np.uint16) if len(self.a) <= 1 << 16 else groups[w], kind="stable")
+        cuts = np.append(0, np.cumsum(np.bincount(groups[w], minlength=len(self.a))))
         for k in np.flatnonzero(np.diff(cuts)):
             own = slice(self.starts[k], self.starts[k + 1] if k + 1 < len(self.a) else len(self.b))
             x, bias = self.q[own], self.b[own][:, None]
             for i, j in blocks(cuts[k], cuts[k + 1], rows or max(16, CELLS // len(bias))):
                 at = order[i:j]
-                mine = q.take(which[at], 0)
-                got = mine @ self.u[k] + self.a[k] - every[which[at]]
+                after = which[at]
+                first = np.append(True, after[1:] != after[:-1])
+                same, after = np.cumsum(first) - 1, after[first]
+                mine = q.take(after, 0)
+                got = mine @ self.u[k] + self.a[k] - every[after]
                 if len(bias) > 1:
                     z = x @ mine.T
                     z += bias
-                    hit = z[w[at] - self.starts[k], np.arange(j - i)]
-                    got += hit - log_sum(z)
+                    hit = z[w[at] - self.starts[k], same]
+                    got = (got - log_sum(z))[same] + hit
+                else:
+                    got = got[same]
                 out[at] = got
         return out
 
@@ -219,9 +225,9 @@ def distinct(w1: np.ndarray, w2: np.ndarray, w: np.ndarray, n: int) -> tuple[np.
         new = np.append(True, key[1:] != key[:-1])[: len(key)]
         at = np.empty(len(key), np.int64)
         at[order] = np.cumsum(new) - 1
-        key = key[new]
-    else:
-        key, at = np.unique(key, return_inverse=True)
+        one = order[new]
+        return w1[one], w2[one], w[one], at
+    key, at = np.unique(key, return_inverse=True)
     return key // (n * n), key // n % n, key % n, at
 
 
@@ -254,11 +260,11 @@ def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: floa
     before, w, weight = np.stack([w1[order], w2[order]], 1), w[order], weight[order]
     log_k = np.log(k * noise_p).astype(np.float32)
     cum = np.cumsum(noise_p)
-    groups = model.groups()
-    for i in range(0, len(w), batch):
+    group = model.groups()[w]
+    drawn = np.minimum(np.searchsorted(cum, rng.random((-(-len(w) // batch), k))), len(cum) - 1).astype(w.dtype)
+    for i, noise in zip(range(0, len(w), batch), drawn, strict=True):
         at = slice(i, i + batch)
         y, n = w[at], weight[at] / weight[at].sum()
-        noise = np.minimum(np.searchsorted(cum, rng.random(k)), len(cum) - 1)
         words = np.concatenate([y, noise])
         rows = before[at].ravel()
         had, had_words, lw = r.take(rows, 0), qb.take(words, 0), log_k[words]
@@ -267,10 +273,10 @@ def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: floa
         q = np.ones((len(y), dim + 1), np.float32)
         np.matmul(seen, c, out=q[:, :dim])
         true = np.einsum("ij,ij->i", q, qy) - lw[: len(y)]
-        up = (n / (1 + np.exp(np.clip(true, -30, 30))))[:, None]  # pull on the true words
+        up = (n / (1 + np.exp(np.minimum(true, 30))))[:, None]  # pull on the true words
         down = q @ qn.T  # push on the noise
         down -= lw[len(y) :]
-        np.clip(down, -30, 30, out=down)
+        np.maximum(down, -30, out=down)
         np.exp(np.negative(down, out=down), out=down)
         down += 1
         np.divide(-n[:, None], down, out=down)
@@ -278,7 +284,7 @@ def train_share(model: Model, w1, w2, w, weight, noise_p: np.ndarray, rate: floa
         z -= z.max(0)
         np.exp(z, out=z)
         z *= -n / z.sum(0)
-        z[groups[y], np.arange(len(y))] += n
+        z[group[at], np.arange(len(y))] += n
         gq = down @ qn
         gq += z.T @ ua
         gq += up * qy
