@@ -155,3 +155,22 @@ def test_recall_against_all_rows(spark):
         true += len(near)
         found += sum(got[rows[j][0]] == got[rows[i][0]] for j in near)
     assert true > 50 and found >= 0.9 * true
+
+
+def test_links_do_not_depend_on_how_many_members_a_centre_has(spark):
+    """Members near the centre and far from it, that share next to none of their differences, are linked however they are dealt."""
+    rng = np.random.default_rng(6)
+    rows, sets = [], []
+    centre = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
+    for i in range(24):  # y lacks one element of the centre, x that one and 54 others: similar to each other, x not to the centre
+        cut = rng.permutation(300)
+        y, x = np.delete(centre, cut[:1]), np.delete(centre, cut[:55])
+        x = np.union1d(x, rng.integers(0, 2**63, 7, dtype=np.uint64))
+        sets += [y, x]
+        rows += [(5, bytes([0, i]), b"home", len(y), np.setxor1d(centre, y).tobytes()), (5, bytes([1, i]), bytes([1, i]), len(x), np.setxor1d(centre, x).tobytes())]
+    alike = lambda a, b: len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+    want = {(rows[i][1], rows[j][1]) for i in range(48) for j in range(48) if rows[i][1] < rows[j][1] and rows[i][2] != rows[j][2] and alike(sets[i], sets[j])}
+    members = spark.createDataFrame(rows, "k long, v binary, c binary, n long, d binary")
+    for limit, wide in ((2048, 32768), (8, 100), (8, 8), (8, 1)):
+        got = [(bytes(r.a), bytes(r.b)) for r in neardup.links_within(members, 0.8, limit, wide).collect()]
+        assert set(got) == want and len(got) == len(want) >= 24

@@ -17,11 +17,10 @@ the other way round, is kept as its difference. Members with the same centre tha
 in different classes by then are compared by their differences D alone, for
 |X xor Y| = |D_x| + |D_y| - 2 |D_x and D_y|: exact again, as one product of matrices in
 a task of at most ``LIMIT`` members. A centre of more members deals them into shares, each two
-of which make a task; one of more than ``WIDE`` members first into buckets by minima of
-hashed differences (similar texts that aren't similar to the centre share a third of
-their differences and more, others next to nothing). So no join makes more than a
-bounded number of rows for a member, and pairs of members are rows only if they
-are similar; nothing is left out.
+of which make a task; of more than ``WIDE``, those of its largest class, which need no comparison
+with one another, into shares of their own that meet the others' shares only. Either way every two
+members of different classes meet in a task, so how many members a centre has decides no result. Pairs
+of members are rows only if they are similar; nothing is left out.
 
 Defined results: null is the empty text; texts without words are near
 duplicates of equal texts only; texts of one to four words have one shingle of
@@ -31,6 +30,8 @@ sorts first; an empty table gives an empty result; extra columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,7 +42,7 @@ from .common import NULL_ID, discard, id_key, materialize, text_of
 from .hashing import RADIX, batches_of, mix, shingle_elements, table
 
 BANDS, ROWS, SIMILARITY, SHINGLE = 64, 8, 0.8, 5
-#: Members of a centre that one task compares, and those from which on they are dealt by their differences first.
+#: Members of a centre that one task compares, and those from which on its largest class is dealt apart.
 LIMIT, WIDE = 2_048, 32_768
 #: Darts thrown at a time.
 DARTS = 50_000
@@ -209,21 +210,17 @@ def in_blocks(members: DataFrame, limit: int) -> DataFrame:
     return other.withColumn("k", F.xxhash64("k", F.least("s", "t"), F.greatest("s", "t"))).drop("s", "t")
 
 
-def by_difference(members: DataFrame, bands: int = 64) -> DataFrame:
-    """Members (k, v, c, n, d) in buckets by two minima of their hashed differences each."""
-
-    def run(batches):
-        salts = table(31, 2 * bands)
-        for b in batches:
-            keys = []
-            for d in b["d"]:
-                x = np.frombuffer(d, np.uint64)
-                least = np.array([mix(x ^ s).min() for s in salts]) if len(x) else salts
-                keys.append(mix(least[::2] + mix(least[1::2] + np.arange(bands, dtype=np.uint64))).view(np.int64))
-            yield b.assign(keys=keys)
-
-    out = members.select("k", "v", "c", "n", "d").mapInPandas(run, "k long, v binary, c binary, n long, d binary, keys array<long>")
-    return out.withColumn("key", F.explode("keys")).withColumn("k", F.xxhash64("k", "key")).select("k", "v", "c", "n", "d")
+def by_class(members: DataFrame, limit: int) -> DataFrame:
+    """As ``in_blocks``, but no block for two shares of a centre's largest class: the negative ones, each of which meets all others."""
+    per = members.groupBy("k", "c").agg(F.count("*").alias("n_c"))
+    most = materialize(per.groupBy("k").agg(F.max(F.struct("n_c", "c")).alias("most")), "largest")
+    apart = F.col("c") == F.col("most.c")
+    shares = lambda n: F.ceil(n / (limit // 2)).cast("int")
+    inner, outer = shares(F.col("most.n_c")), shares(F.col("n_k") - F.col("most.n_c"))
+    place = lambda n: F.pmod(F.xxhash64(F.lit("share"), "v"), n).cast("int")
+    own = members.join(most, "k").withColumn("s", F.when(apart, -1 - place(inner)).otherwise(place(outer)))
+    other = own.withColumn("t", F.explode(F.sequence(F.when(apart, F.lit(0)).otherwise(-inner), outer - 1)))
+    return other.withColumn("k", F.xxhash64("k", F.least("s", "t"), F.greatest("s", "t"))).drop("s", "t", "most")
 
 
 def of_several(members: DataFrame) -> DataFrame:
@@ -235,12 +232,10 @@ def of_several(members: DataFrame) -> DataFrame:
 def links_within(members: DataFrame, least: float, limit: int, wide: int) -> DataFrame:
     """(a, b): similar pairs of different classes among the members (k, v, c, n, d) of each centre."""
     some = materialize(of_several(members), "open")
-    large = some.where(F.col("n_k") > wide)
-    if large.limit(1).count():
-        dealt = materialize(of_several(by_difference(large)), "dealt")
-        some = some.where(F.col("n_k") <= wide).unionByName(dealt)
-    names = ["k", "v", "c", "n", "d"]
-    blocks = some.where(F.col("n_k") <= limit).select(names).unionByName(in_blocks(some.where(F.col("n_k") > limit), limit).select(names))
+    names, wide = ["k", "v", "c", "n", "d"], max(limit, wide)
+    large, huge = some.where((F.col("n_k") > limit) & (F.col("n_k") <= wide)), some.where(F.col("n_k") > wide)
+    parts = [some.where(F.col("n_k") <= limit), in_blocks(large, limit), by_class(huge, limit)]
+    blocks = reduce(DataFrame.unionByName, [x.select(names) for x in parts])
 
     def run(batches):
         key, rows = None, []
