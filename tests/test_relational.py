@@ -273,3 +273,24 @@ def test_clusters_from_pairs_equal_those_from_a_matrix():
         found = sorted((a, b) for p in clustering.close_pairs(x, groups, 0.65, 7) for a, b in zip(p[0].tolist(), p[1].tolist(), strict=True))
         exact = (x @ x.T + 1) / 2
         assert found == sorted((a, b) for a in range(n) for b in range(a + 1, n) if exact[a, b] > 0.65 and groups[a] != groups[b])
+
+
+def test_caps_in_rounds_follow_the_loop(spark):
+    """Hubs, chains, ties, speakers that stand twice in a call and calls longer than the cap: the same with rounds, some rounds or none."""
+    rng = random.Random(8)
+    rows = [(i, [f"a{rng.randrange(5)}", f"b{rng.randrange(40)}"], [rng.randrange(1, 12) for _ in range(2)], float(rng.randrange(20))) for i in range(400)]
+    rows += [(1000 + i, [f"c{i}", f"c{i + 1}"], [5, 5], 90.0 - i) for i in range(40)]
+    rows += [(2000 + i, ["a1", "a2", "d", "d"], [rng.randrange(1, 14) for _ in range(4)], float(rng.randrange(20))) for i in range(30)]
+    order = sorted(rows, key=lambda r: (-r[3], r[0]))
+    df = spark.createDataFrame(rows, "call int, speakers array<string>, times array<long>, quality double")
+    for caps in ((20, 10), (1, None), (6, 40), (None, 60)):
+        want = dict(zip([r[0] for r in order], selection.admit([(r[1], r[2]) for r in order], *caps), strict=True))
+        for how in ({"few": 0, "turns": 100} if caps == (6, 40) else {"few": 0, "turns": 3}, {}):
+            assert {r.call: r.reason for r in selection.cap_admission(df, *caps, **how).collect()} == want
+
+
+def test_caps_need_no_group_in_memory(spark, monkeypatch):
+    """No step takes all calls of a component as one pandas table."""
+    monkeypatch.setattr(type(spark.range(1).groupBy()), "applyInPandas", lambda *a: 1 / 0)
+    df = spark.createDataFrame([(1, ["a", "b"], [5, 5], 2), (2, ["a", "c"], [6, 6], 1)], "call int, speakers array<string>, times array<long>, quality long")
+    assert {r.call: r.reason for r in selection.cap_admission(df, 5, 10).collect()} == {1: "kept", 2: "speaker_duration_cap"}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from functools import reduce
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -47,24 +49,105 @@ def admit(rows: list[tuple], max_calls: int | None, max_ms: int | None) -> list[
     return out
 
 
-def cap_admission(candidates: DataFrame, max_calls: int | None, max_ms: int | None) -> DataFrame:
-    """(call, reason) for rows (call, speakers, times in ms, quality): best quality first, then by call.
+#: Sides of undecided calls that one task takes in order, and the rounds after which it takes whatever is left.
+FEW, TURNS = 200_000, 12
 
-    Budgets never cross connected components of the graph calls make between
-    speakers, so each component is admitted by itself. Only keys, names and
-    numbers go into the grouped step.
+
+def _sides(candidates: DataFrame) -> DataFrame:
+    """(id, call, quality, speaker, own, n, total, top, kept): each different speaker of a call with the places and times of the sides it has."""
+    kinds = dict(candidates.dtypes)
+    quality = F.nullif(F.col("quality"), F.lit(float("nan"))).alias("quality") if kinds["quality"] in ("double", "float") else F.col("quality")
+    each = F.transform(F.arrays_zip("speakers", "times"), lambda x, i: F.struct(x["speakers"].alias("speaker"), i.alias("pos"), x["times"].alias("ms")))
+    mine = F.transform(F.array_distinct("speakers"), lambda s: F.struct(s.alias("speaker"), F.filter(each, lambda x: x["speaker"] == s).alias("own")))
+    numbered = candidates.where(F.get("speakers", F.lit(0)).isNotNull()).select(F.monotonically_increasing_id().alias("id"), "call", quality, mine.alias("mine"))
+    named = numbered.select("id", "call", "quality", F.explode("mine").alias("x"))
+    ms = F.transform("own", lambda x: x["ms"])
+    sides = named.select("id", "call", "quality", F.col("x.speaker").alias("speaker"), F.transform("x.own", lambda x: F.struct(x["pos"].alias("pos"), x["ms"].alias("ms"))).alias("own")).where("speaker is not null")
+    total = F.aggregate(ms, F.lit(0).cast("long"), lambda t, x: t + x).alias("total")
+    return sides.select("*", F.size("own").cast("long").alias("n"), total, F.array_max(ms).alias("top"), F.lit(None).cast("boolean").alias("kept"))
+
+
+def _order() -> list[Column]:
+    return [F.desc_nulls_last("quality"), F.col("call"), F.col("id")]
+
+
+def _rest_in_order(sides: DataFrame, max_calls: int | None, max_ms: int | None) -> DataFrame:
+    """(id) of the calls that are kept among undecided ones, whose sides say what calls kept already use (calls, used) before them; one task."""
+
+    def run(batches):
+        calls: dict = {}
+        used: dict = {}
+        own: list = []
+
+        def admitted():
+            fits = lambda s, c, u, top: (max_calls is None or c + calls.get(s, 0) < max_calls) and (max_ms is None or u + used.get(s, 0) + top <= max_ms)
+            if not own or not all(fits(s, c, u, top) for _, s, c, u, _, _, top in own):
+                return []
+            for _, s, _, _, n, total, _ in own:
+                calls[s] = calls.get(s, 0) + n
+                used[s] = used.get(s, 0) + total
+            return [own[0][0]]
+
+        for b in batches:
+            out = []
+            for row in zip(*(b[x].tolist() for x in ("id", "speaker", "calls", "used", "n", "total", "top")), strict=True):
+                if own and own[0][0] != row[0]:
+                    out += admitted()
+                    own = []
+                own.append(row)
+            yield pd.DataFrame({"id": out}, dtype="int64")
+        yield pd.DataFrame({"id": admitted()}, dtype="int64")
+
+    ordered = sides.repartition(1).sortWithinPartitions(*_order())
+    return ordered.select("id", "speaker", "calls", "used", "n", "total", "top").mapInPandas(run, "id long")
+
+
+def cap_admission(candidates: DataFrame, max_calls: int | None, max_ms: int | None, few: int = FEW, turns: int = TURNS) -> DataFrame:
+    """(call, reason) for rows (call, speakers, times in ms, quality): best quality first, then by call; as ``admit`` has it.
+
+    In rounds. Running sums of each speaker's calls, in order, say what it has used before a call at least (by calls
+    kept already) and at most (if all undecided ones before are kept). A call that fits with the most is kept, one that
+    doesn't with the least is refused; the first undecided one always is either. What is left after some
+    rounds, or is small, is taken in order by one task that holds the speakers of these calls: the same
+    calls either way. Reasons follow from the sums over all calls kept. A null speaker has no caps; calls whose first is null are left out.
     """
     max_calls, max_ms = enabled(max_calls), enabled(max_ms)
-    pairs = candidates.select(F.col("speakers")[0].alias("a"), F.explode("speakers").alias("b"))
-    parts = graph.connected_components(pairs)
-    tied = candidates.select("call", "speakers", "times", "quality", F.col("speakers")[0].alias("node")).join(parts, "node")
+    before = Window.partitionBy("speaker").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
+    one = Window.partitionBy("id")
+    taken = lambda x, which: F.coalesce(F.sum(F.when(which, F.col(x))).over(before), F.lit(0))
+    at_least = lambda t: t.withColumns({"calls": taken("n", F.col("kept")), "used": taken("total", F.col("kept"))})
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["quality", "call"], ascending=[False, True])
-        return pd.DataFrame({"call": pdf["call"], "reason": admit(list(zip(pdf["speakers"], pdf["times"], strict=True)), max_calls, max_ms)})
+    def over(calls, used, ms):
+        """Which cap refuses a side, null if none does."""
+        long = F.lit(False) if max_ms is None else ms > max_ms
+        many = F.lit(False) if max_calls is None else calls >= max_calls
+        much = F.lit(False) if max_ms is None else used + ms > max_ms
+        return F.when(long, "longer_than_duration_cap").when(many, "speaker_cap").when(much, "speaker_duration_cap")
 
-    kind = dict(candidates.dtypes)["call"]
-    return tied.select("component", "call", "speakers", "times", "quality").groupBy("component").applyInPandas(run, f"call {kind}, reason string")
+    live = materialize(_sides(candidates), "sides")
+    columns, refused = live.columns, []
+    for turn in count():
+        n = live.where("kept is null").count()
+        if not n:
+            break
+        if n <= few or turn >= turns:
+            found = materialize(_rest_in_order(at_least(live).where("kept is null"), max_calls, max_ms), "rest").withColumn("found", F.lit(True))
+            live = live.join(found, "id", "left").withColumn("kept", F.coalesce("kept", "found", F.lit(False))).select(columns)
+            break
+        most = {"most_calls": taken("n", F.lit(True)), "most_used": taken("total", F.lit(True))}
+        known = at_least(live).withColumns(most)
+        fits = over(F.col("most_calls"), F.col("most_used"), F.col("top")).isNull()
+        fails = over(F.col("calls"), F.col("used"), F.col("top")).isNotNull()
+        judged = known.withColumns({"fits": F.min(fits).over(one), "fails": F.max(fails).over(one)})
+        kept = F.coalesce("kept", F.when(F.col("fits"), True).when(F.col("fails"), False))
+        step = materialize(judged.withColumn("kept", kept).select(columns), "judged")
+        refused.append(step.where("not kept"))
+        live = step.where("kept is null or kept")
+    every = at_least(reduce(DataFrame.unionByName, refused, live))
+    why = lambda x: F.struct(x["pos"].alias("pos"), over(F.col("calls"), F.col("used"), x["ms"]).alias("reason"))
+    first = F.array_min(F.filter(F.transform("own", why), lambda x: x["reason"].isNotNull()))
+    per = every.withColumn("why", F.when(F.col("kept"), None).otherwise(first)).groupBy("id").agg(F.first("call").alias("call"), F.min("why").alias("why"))
+    return per.select("call", F.coalesce("why.reason", F.lit("kept")).alias("reason"))
 
 
 def balance_plan(male: int, female: int, only_male: int, only_female: int, tolerance: float) -> tuple[int, int]:
