@@ -62,3 +62,25 @@ def test_run_on_awkward_and_empty_tables(spark, awkward, empty, tmp_path):
     assert out.columns == [*awkward.columns, "copy"] and corpus_pipeline.run(spark, f"{tmp_path}/e").count() == 0
     assert 1 not in {r.doc_id for r in rows} and {r.doc_id for r in rows} <= {r.doc_id for r in awkward.collect()}
     assert sum(r.text == "one two three four five six seven" and r["copy"] == 1 for r in rows) <= 1
+
+
+def test_near_duplicates_do_not_depend_on_the_size_of_a_group(spark, monkeypatch):
+    """The stage keeps the same documents when every centre counts as one with very many members, and nothing is dealt by hashed differences."""
+    import random
+
+    import corpus_pipeline
+    from twinline.llm import neardup
+
+    assert not hasattr(neardup, "by_difference")
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(40):
+        t = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            t[rng.randrange(150)] = word()
+        rows.append((i, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(r.doc_id for r in corpus_pipeline.dedup_near(spark, docs, "").collect())
+    assert sorted(r.doc_id for r in neardup.keep_first(docs, limit=8, wide=8).collect()) == want and len(want) < 40
