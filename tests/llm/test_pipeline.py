@@ -84,3 +84,27 @@ def test_near_duplicates_do_not_depend_on_the_size_of_a_group(spark, monkeypatch
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted(r.doc_id for r in corpus_pipeline.dedup_near(spark, docs, "").collect())
     assert sorted(r.doc_id for r in neardup.keep_first(docs, limit=8, wide=8).collect()) == want and len(want) < 40
+
+
+def test_near_duplicates_lose_no_link_of_a_large_group(spark):
+    """Texts that only a member of the first text's class links to it are left out, be the group small or one with very many members."""
+    import random
+
+    from twinline.llm import neardup
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    base = [word() for _ in range(304)]
+    texts = [base]
+    for k in range(24):  # y differs from the first text in 5 shingles of 300, x in these and 30 others
+        y = list(base)
+        y[20 + k] = word()
+        x, at = list(y), rng.randrange(60, 80)
+        for j in range(6):
+            x[at + 40 * j] = word()
+        texts += [y, x]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    first = brute_classes([(r.doc_id, r.text) for r in docs.collect()])
+    assert set(first.values()) == {0}
+    assert [r.doc_id for r in neardup.keep_first(docs, limit=8, wide=8).collect()] == [0]
+    assert [r.doc_id for r in corpus_pipeline.dedup_near(spark, docs, "").collect()] == [0]
