@@ -1,6 +1,7 @@
 """The learned operators: held-out accuracy, exact counts, proper probabilities."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -193,3 +194,23 @@ def test_rounds_share_all_positions():
     for rounds in (1, lm.ROUNDS, 5):
         used = np.concatenate([lm.chosen(d, sizes, i, rounds) for i in range(rounds)])
         assert sorted(used) == list(range(50))
+
+
+def test_words_counted_and_looked_up_in_arrow(spark):
+    """Counts that leave a worker a few words at a time, places in the head, and ids stored as bytes, against Python's own."""
+    texts = [None, "", " a  b\tA ", "b\nc \x0b d", "Ünï a É é b", "a " * 50 + "z", "\x0c\r ", "x"] + [f"w{i} w{i % 7} a" for i in range(40)]
+    df = spark.createDataFrame([(None if i == 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = lambda t: [w for w in re.split(rb"[\x20\x09-\x0D]+", (t or "").encode().lower()) if w]
+    held = lambda i: zlib.crc32(b"" if i == 3 else str(i).encode()) % 7 == 2
+    want = Counter(w for i, t in enumerate(texts) if not held(i) for w in [*words(t), b""])
+    for flush in (1, 5, 10**6):
+        assert {bytes(r.token): r.c for r in lm.word_counts(df, flush).collect()} == want
+    assert lm.word_counts(df.where("doc_id = 8").where(lm.held_out())).count() == 0
+    lex = lm.lexicon(lm.word_counts(df), least=3, head=4)
+    assert list(lex.index.values()) == list(range(len(lex.index))) and len(lex.index) < len(want)
+    for index in (lex.index, {}):
+        some = lm.Lexicon(index, lex.counts, lex.total, lex.distinct, lex.vocab)
+        table = lm.encoded(df, some)
+        assert dict(table.dtypes)["ids"] == "binary"
+        got = sorted((np.frombuffer(r.ids, np.int32).tolist(), [bytes(w) for w in r.rare]) for r in table.collect())
+        assert got == sorted(([index.get(w, -1) for w in [*words(t), b""]], [w for w in words(t) if w not in index]) for t in texts)

@@ -23,7 +23,8 @@ limit on their number (there can't be more than ROOT sqrt(N)). The rarer words s
 one place in it; their own probability within that place is by add-one counts over
 all training documents, so a text's probability is a proper one. All words are
 counted. The model's words, and the most frequent up to HEAD where those are more,
-are sent to every worker; the others' counts are joined by shuffle.
+are sent to every worker; the others' counts are joined by shuffle. Words are counted and
+looked up in Arrow, and a text's numbers are stored as bytes, not as an array.
 
 A document is held out if crc32 of its doc_id as text is 2 modulo 7.
 
@@ -36,9 +37,7 @@ in training; without training documents N and V are 0 and every base score is
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -330,22 +329,29 @@ def own(ids: np.ndarray, vocab: int) -> np.ndarray:
     return np.where((ids < 0) | (ids >= vocab), ids.dtype.type(vocab), ids)
 
 
-def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
-    """(token, c) over all training documents, the end included; partial counts leave a worker ``flush`` words at a time."""
+def summed(counts: list[pa.StructArray]) -> list[pa.RecordBatch]:
+    """(token, c) of several pieces' words and counts."""
+    parts = [pa.chunked_array([x.field(i) for x in counts], t) for i, t in enumerate((pa.binary(), pa.int64()))]
+    table = pa.Table.from_arrays(parts, ["token", "n"]).group_by("token", use_threads=False).aggregate([("n", "sum")])
+    return table.select(["token", "n_sum"]).rename_columns(["token", "c"]).to_batches()
+
+
+def word_counts(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
+    """(token, c) over all training documents, the end included; partial counts leave a worker when its pieces of texts have ``flush`` words in all."""
 
     def run(batches):
-        counts: Counter = Counter()
-        partial = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["token", "c"])
+        counts, held, ends = [], 0, 0
         for b in batches:
             texts = b.column("text")
             for lo, hi in pieces(texts):
-                found = pc.value_counts(split_words(texts.slice(lo, hi - lo))[0])
-                counts.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True)))
-                counts[END] += hi - lo
-                if len(counts) >= flush:
-                    yield partial()
-                    counts.clear()
-        yield partial()
+                counts.append(pc.value_counts(split_words(texts.slice(lo, hi - lo))[0]))
+                held, ends = held + len(counts[-1]), ends + hi - lo
+                if held >= flush:
+                    yield from summed(counts)
+                    counts, held = [], 0
+        yield from summed(counts)
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], ["token", "c"])
 
     some = docs.where(~held_out()).select(utf8()).mapInArrow(run, "token binary, c long")
     return some.groupBy("token").agg(F.sum("c").alias("c"))
@@ -373,13 +379,11 @@ def lexicon(counts: DataFrame, least: int | None = None, head: int = HEAD) -> Le
     return Lexicon({w: i for i, w in enumerate(held)}, np.array([end[0], *top["c"]], np.int64) if end else np.zeros(0, np.int64), total.n, total.v, own)
 
 
-def encode(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """(head index or -1 of every token, tokens in each text, the words that aren't in the head, how many each text has of these)."""
+def encode(head: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(index in ``head``, whose first is the end, or -1 of every token; tokens in each text; the words that aren't in the head; how many each text has of these)."""
     words, n = split_words(texts)
-    kinds = words.dictionary_encode()
-    known = np.fromiter(map(lex.index.get, kinds.dictionary.to_pylist(), repeat(-1)), np.int32, len(kinds.dictionary))
-    w = known[kinds.indices.to_numpy()]
-    ids = np.full(len(w) + len(n), lex.index.get(END, -1), np.int32)
+    w = pc.fill_null(pc.index_in(words, value_set=head), -1).to_numpy()
+    ids = np.full(len(w) + len(n), 0 if len(head) else -1, np.int32)
     word = np.ones(len(ids), bool)
     word[np.cumsum(n + 1) - 1] = False
     ids[word] = w
@@ -399,25 +403,27 @@ def contexts(w: np.ndarray, sizes: np.ndarray, begin: int) -> tuple[np.ndarray,
 
 
 def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
-    """(doc_id, held_out, h, ids, rare): a number of the row, head indexes of its tokens (-1 for words that aren't in the head), and those words.
+    """(doc_id, held_out, h, ids, rare): a number of the row, head indexes of its tokens (-1 for words that aren't in the head) as bytes, and those words.
 
     The row's number holds once the result is stored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(lex)
+    shared = docs.sparkSession.sparkContext.broadcast(list(lex.index))
 
-    def lists(sizes, values):
-        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values)
+    def places(sizes):
+        return pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
 
     def run(batches):
+        head = pa.array(shared.value, pa.binary())
         for b in batches:
             texts = b.column("text")
             for lo, hi in pieces(texts):
-                ids, sizes, rare, some = encode(shared.value, texts.slice(lo, hi - lo))
+                ids, sizes, rare, some = encode(head, texts.slice(lo, hi - lo))
                 same = [b.column(x).slice(lo, hi - lo) for x in ("doc_id", "held_out", "h")]
-                yield pa.RecordBatch.from_arrays([*same, lists(sizes, pa.array(ids)), lists(some, rare)], ["doc_id", "held_out", "h", "ids", "rare"])
+                numbers = pa.Array.from_buffers(pa.binary(), len(sizes), [None, places(4 * sizes).buffers()[1], pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([*same, numbers, pa.ListArray.from_arrays(places(some), rare)], ["doc_id", "held_out", "h", "ids", "rare"])
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.monotonically_increasing_id().alias("h"), utf8())
-    return base.mapInArrow(run, "doc_id long, held_out boolean, h long, ids array<int>, rare array<binary>")
+    return base.mapInArrow(run, "doc_id long, held_out boolean, h long, ids binary, rare array<binary>")
 
 
 def chosen(d: np.ndarray, sizes: np.ndarray, i: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -447,7 +453,7 @@ def fit(texts: DataFrame, lex: Lexicon, rounds: int = ROUNDS, share: int = SHARE
             m, p = state.value
 
             def train(k, d, rows):
-                sizes, w = np.array([len(r) for r in rows]), own(np.concatenate(rows), vocab)
+                sizes, w = np.array([len(r) for r in rows]) // 4, own(np.frombuffer(b"".join(rows), np.int32), vocab)
                 w1, w2 = contexts(w, sizes, len(m.b))
                 use = chosen(np.array(d), sizes, i, rounds)
                 n = len(use)
@@ -525,13 +531,13 @@ def score(docs: DataFrame, least: int | None = None, head: int = HEAD) -> DataFr
     def run(batches):
         for b in batches:
             if len(b):
-                yield pd.concat([b[["doc_id", "held_out", "h"]].reset_index(drop=True), scored(b["ids"].tolist(), *state.value)], axis=1)
+                yield pd.concat([b[["doc_id", "held_out", "h"]].reset_index(drop=True), scored([np.frombuffer(x, np.int32) for x in b["ids"]], *state.value)], axis=1)
 
     schema = "doc_id long, held_out boolean, h long, n_tokens long, n_known long, known double, own double, lm double, n_other long"
     rows = materialize(texts.select("doc_id", "held_out", "h", "ids").mapInPandas(run, schema), "scored")
-    # the counts of rare words, joined to the rows that have them
+    # the counts of rare words, joined to the rows that have them; the counts, one of each word, are looked up, so that no side is sorted
     rare = texts.where(F.size("rare") > 0).select("h", F.explode("rare").alias("token"))
-    per = rare.join(counts, "token").groupBy("h").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("seen"))
+    per = rare.join(counts.hint("shuffle_hash"), "token").groupBy("h").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("seen"))
     out = rows.join(materialize(per, "rare"), "h", "left")
     more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0))
     n_own, v_own = lex.other_mass()
